@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ["corpus"]
+SECTIONS = ["corpus", "repos", "genlog"]
 
 
 def load_all() -> None:
