@@ -9,6 +9,7 @@ from corpusloom import schemas
 from corpusloom.functions import text, usage
 from corpusloom.operators import filters
 from corpusloom.operators.dedup import latest_per_key
+from corpusloom.operators.joins import join_small
 from corpusloom.operators.quantiles import medians
 
 LOG_KEYS = ["source_file_id", "task_type"]
@@ -60,12 +61,11 @@ def count_by_task(df: DataFrame) -> DataFrame:
 def attach_prices(df: DataFrame, prices: DataFrame) -> DataFrame:
     """Add ``price_in``/``price_out`` per million tokens by provider; unknown providers cost nothing.
 
-    The price table is reduced to one row per provider; AQE broadcasts it when its measured size
-    allows.
+    The price table is reduced to one row per provider.
     """
     unique = prices.groupBy("provider").agg(F.max_by(F.struct("price_in", "price_out"), "price_in").alias("_p"))
     zero = F.lit(0.0)
-    return df.join(unique, "provider", "left").withColumns({
+    return join_small(df, unique, "provider").withColumns({
         "price_in": F.coalesce("_p.price_in", zero), "price_out": F.coalesce("_p.price_out", zero),
     }).drop("_p")
 
@@ -151,7 +151,7 @@ def budget_cutoff(df: DataFrame, limit: float, balance: str = "balance", seq: st
     breach = succeeded() & (F.col(balance) < limit)
     stops = df.filter(breach).groupBy("provider").agg(F.min(position).alias("_stop"))
     return (
-        df.join(stops, "provider", "left")
+        join_small(df, stops, "provider")
         .filter(F.col("_stop").isNull() | (position <= F.col("_stop"))).drop("_stop")
     )
 
@@ -168,7 +168,7 @@ def error_streaks(df: DataFrame, seq: str = "request_seq", breaker: int = BREAKE
     cuts = log.groupBy("provider").agg(
         F.percentile_approx("_ts", [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts")
     )
-    sliced = log.join(cuts, "provider").select(
+    sliced = join_small(log, cuts, "provider").select(
         "provider", "_ts", "_seq", "_err", F.size(F.filter("_cuts", lambda c: c < F.col("_ts"))).alias("_slice")
     )
     inside = Window.partitionBy("provider", "_slice").orderBy("_ts", "_seq")

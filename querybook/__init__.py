@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ["corpus", "repos", "genlog"]
+SECTIONS = ["corpus", "repos", "genlog", "sampling"]
 
 
 def load_all() -> None:
