@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ["corpus", "repos", "genlog", "sampling"]
+SECTIONS = ["corpus", "repos", "genlog", "sampling", "chat"]
 
 
 def load_all() -> None:
