@@ -26,6 +26,11 @@ def content_key(col: Column | str) -> Column:
     return F.sha2(_c(col), 256)
 
 
+def digest(col: Column | str) -> Column:
+    """``content_key`` as 32 bytes, for use as a shuffle key."""
+    return F.unhex(content_key(col))
+
+
 def seeded_hash(seed: int, *cols: Column | str) -> Column:
     """md5 of ``seed|col|…``; nulls hash like empty strings."""
     parts = [F.coalesce(_c(c).cast("string"), F.lit("")) for c in cols]

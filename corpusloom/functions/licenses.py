@@ -54,20 +54,24 @@ def normalize_license(raw: Column | str, strict: bool = False) -> Column:
     Exact spellings first, then ordered substring rules. The rules are deliberately loose ("limited
     use" contains "mit"); ``strict=True`` leaves them out.
     """
-    cleaned = F.lower(strip(raw))
     exact = {**{name.lower(): name for name in PERMISSIVE + COPYLEFT}, **SPELLINGS}
     table = F.create_map(*[F.lit(x) for x in chain.from_iterable(exact.items())])
-    found = F.try_element_at(table, cleaned)
-    if strict:
-        return found
-    loose = (
-        F.when(cleaned.contains("mit"), "MIT")
-        .when(cleaned.contains("apache"), "Apache-2.0")
-        .when(cleaned.contains("bsd") & (cleaned.contains("2") | cleaned.contains("simplified")), "BSD-2-Clause")
-        .when(cleaned.contains("bsd"), "BSD-3-Clause")
-        .when(cleaned.contains("isc"), "ISC")
-    )
-    return F.coalesce(found, loose)
+
+    def identify(cleaned: Column) -> Column:
+        found = F.try_element_at(table, cleaned)
+        if strict:
+            return found
+        return F.coalesce(
+            found,
+            F.when(cleaned.contains("mit"), "MIT")
+            .when(cleaned.contains("apache"), "Apache-2.0")
+            .when(cleaned.contains("bsd") & (cleaned.contains("2") | cleaned.contains("simplified")), "BSD-2-Clause")
+            .when(cleaned.contains("bsd"), "BSD-3-Clause")
+            .when(cleaned.contains("isc"), "ISC"),
+        )
+
+    # the lambda binds the cleaned string once; spelled out, every rule would strip it again
+    return F.transform(F.array(F.lower(strip(raw))), identify)[0]
 
 
 def is_permissive(raw: Column | str, strict: bool = False) -> Column:

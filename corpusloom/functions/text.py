@@ -76,7 +76,8 @@ def estimate_tokens(col: Column | str, chars_per_token: float = CHARS_PER_TOKEN)
 
 
 def normalize_newlines(col: Column | str) -> Column:
-    return F.regexp_replace(_c(col), "\r\n?", "\n")
+    nl = F.lit("\n")
+    return F.replace(F.replace(_c(col), F.lit("\r\n"), nl), F.lit("\r"), nl)
 
 
 def decode_utf8(content: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text
-from corpusloom.functions.keys import content_key
+from corpusloom.functions.keys import digest
 from corpusloom.functions.licenses import normalize_license
 from corpusloom.operators import filters
 from corpusloom.operators.dedup import dedup_content
@@ -63,7 +63,7 @@ def funnel_report(df: DataFrame, rules: list[Rule] | None = None, deduplicate: b
     """
     rules = corpus_rules(**bounds) if rules is None else rules
     failed = first_failed(rules)
-    survivor_key = F.when(F.col("_failed").isNull(), F.coalesce(content_key("code"), F.lit("")))
+    survivor_key = F.when(F.col("_failed").isNull(), F.coalesce(digest("code"), F.lit(b"")))
     tagged = df.withColumn("_failed", failed).select("_failed", survivor_key.alias("_key"))
     aggregates = [F.count(F.lit(1)).alias("total")]
     aggregates += [F.count_if(F.col("_failed") == i).alias(f"r{i}") for i in range(len(rules))]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.keys import content_key
+from corpusloom.functions.keys import digest
 
 
 def first_per_key(df: DataFrame, keys: list[str | Column], order: list[Column]) -> DataFrame:
@@ -26,7 +26,7 @@ def dedup_content(df: DataFrame, code: str = "code", stars: str = "stars", id_co
     and pays off when texts are long and mostly distinct; the result is the same.
     """
     order = [F.desc_nulls_last(stars), F.asc_nulls_last(id_col)]
-    keyed = df.withColumn("_digest", content_key(code))
+    keyed = df.withColumn("_digest", digest(code))
     if not duplicates_only:
         return first_per_key(keyed, ["_digest"], order).drop("_digest")
     repeated = (

@@ -10,7 +10,7 @@ from corpusloom.functions import text, usage
 from corpusloom.operators import filters
 from corpusloom.operators.dedup import latest_per_key
 from corpusloom.operators.joins import join_small
-from corpusloom.operators.quantiles import medians
+from corpusloom.operators.quantiles import median, with_positions
 
 LOG_KEYS = ["source_file_id", "task_type"]
 BREAKER_AT = 10  # fixed value: consecutive errors that stop a run
@@ -85,29 +85,31 @@ def succeeded() -> Column:
 def provider_summary(df: DataFrame) -> DataFrame:
     """Per provider and approach: requests, tokens and times of the successful ones.
 
-    The middle request time is the upper median. Groups without a success are left out.
+    The middle request time is the upper median. Groups without a success are left out. The log is
+    read once, into sums per (provider, approach, outcome, milliseconds); everything else comes
+    from that table.
     """
-    keys, ok = ["provider", "approach"], succeeded()
-    speed = F.when(
-        ok & (F.col("wall_time_ms") > 0) & (F.col("output_tokens") > 0),
-        usage.tokens_per_second("output_tokens", "wall_time_ms"),
+    keys, wall = ["provider", "approach"], F.col("wall_time_ms")
+    speed = F.when((wall > 0) & (F.col("output_tokens") > 0), usage.tokens_per_second("output_tokens", wall))
+    per_time = df.groupBy(*keys, succeeded().alias("ok"), "wall_time_ms").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("input_tokens").alias("i"), F.sum("output_tokens").alias("o"),
+        F.sum(speed).alias("speed"), F.count(speed).alias("timed"),
     )
-    ms = F.when(ok, F.col("wall_time_ms"))
-    totals = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(ok).alias("completed"),
-        F.count_if(~ok).alias("failed"),
-        (F.sum(ms) / F.lit(1000.0)).alias("elapsed_seconds"),
-        F.sum(F.when(ok, F.col("input_tokens"))).alias("total_input_tokens"),
-        F.sum(F.when(ok, F.col("output_tokens"))).alias("total_output_tokens"),
-        F.coalesce(F.avg(speed), F.lit(0.0)).alias("avg_tok_per_sec"),
-        (F.sum(ms) / F.lit(1000.0) / F.count(ms)).alias("avg_request_seconds"),
+    ok = F.col("ok")
+    ms = F.sum(F.when(ok, wall * F.col("n")))
+    requests = F.sum(F.when(ok & wall.isNotNull(), F.col("n")))
+    return with_positions(per_time, [*keys, "ok"], "wall_time_ms").groupBy(*keys).agg(
+        F.sum("n").alias("total"),
+        F.coalesce(F.sum(F.when(ok, F.col("n"))), F.lit(0)).alias("completed"),
+        F.coalesce(F.sum(F.when(~ok, F.col("n"))), F.lit(0)).alias("failed"),
+        (ms / F.lit(1000.0)).alias("elapsed_seconds"),
+        F.sum(F.when(ok, F.col("i"))).alias("total_input_tokens"),
+        F.sum(F.when(ok, F.col("o"))).alias("total_output_tokens"),
+        F.coalesce(F.sum(F.when(ok, F.col("speed"))) / F.nullif(F.sum(F.when(ok, F.col("timed"))), F.lit(0)), F.lit(0.0))
+        .alias("avg_tok_per_sec"),
+        (median(F.when(ok, wall), upper=True) / F.lit(1000.0)).alias("p50_request_seconds"),
+        (ms / F.lit(1000.0) / requests).alias("avg_request_seconds"),
     ).filter("completed > 0")
-    middle = medians(df.filter(ok), keys, "wall_time_ms", "_p50_ms", upper=True)
-    # both sides have one row per group
-    return totals.join(
-        middle.select(*keys, (F.col("_p50_ms") / F.lit(1000.0)).alias("p50_request_seconds")), keys, "left"
-    )
 
 
 def generation_totals(
@@ -171,32 +173,39 @@ def error_streaks(df: DataFrame, seq: str = "request_seq", breaker: int = BREAKE
     sliced = join_small(log, cuts, "provider").select(
         "provider", "_ts", "_seq", "_err", F.size(F.filter("_cuts", lambda c: c < F.col("_ts"))).alias("_slice")
     )
-    inside = Window.partitionBy("provider", "_slice").orderBy("_ts", "_seq")
-    island = F.count_if(~F.col("_err")).over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    whole = Window.partitionBy("provider", "_slice")
+    inside = whole.orderBy("_ts", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = F.count_if(~F.col("_err"))
     runs = (
-        sliced.withColumn("_island", island).groupBy("provider", "_slice", "_island")
-        .agg(F.count_if("_err").alias("_len"))
+        sliced.withColumns({"_island": fine.over(inside), "_top": fine.over(whole)})
+        .groupBy("provider", "_slice", "_top", "_island").agg(F.count_if("_err").alias("_len"))
     )
     # island 0 touches the left border of its slice, the highest island the right border
-    top = F.max("_island").over(Window.partitionBy("provider", "_slice"))
-    placed = runs.withColumn("_top", top)
-    inner = placed.filter("_island > 0 and _island < _top and _len > 0").groupBy("provider").agg(
-        F.max("_len").alias("longest"), F.count(F.lit(1)).alias("runs"), F.count_if(F.col("_len") >= breaker).alias("breaks")
+    length, island, top = F.col("_len"), F.col("_island"), F.col("_top")
+    middle = (island > 0) & (island < top) & (length > 0)
+    per_slice = runs.groupBy("provider", "_slice", "_top").agg(
+        F.max(F.when(middle, length)).alias("longest"), F.count_if(middle).alias("runs"),
+        F.count_if(middle & (length >= breaker)).alias("breaks"),
+        F.coalesce(F.max(F.when(island == 0, length)), F.lit(0)).alias("_lead"),
+        F.coalesce(F.max(F.when(island == top, length)), F.lit(0)).alias("_trail"),
     )
-    border = placed.filter("_island = 0 or _island = _top").withColumn("_starts", (F.col("_island") > 0).cast("int"))
-    chain = Window.partitionBy("provider").orderBy("_slice", "_island")
-    stitched = (
-        border.withColumn("_run", F.sum("_starts").over(chain.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-        .groupBy("provider", "_run").agg(F.sum("_len").alias("_len")).filter("_len > 0").groupBy("provider")
-        .agg(F.max("_len").alias("longest"), F.count(F.lit(1)).alias("runs"), F.count_if(F.col("_len") >= breaker).alias("breaks"))
+    # a slice without any success is one piece that lets a run pass through
+    piece = "struct<starts:int,len:bigint>"
+    pieces = F.when(top == 0, F.array(F.struct(F.lit(0), "_lead").cast(piece))).otherwise(
+        F.array(F.struct(F.lit(0), "_lead").cast(piece), F.struct(F.lit(1), "_trail").cast(piece))
     )
-    found = inner.unionByName(stitched).groupBy("provider").agg(
-        F.max("longest").alias("longest"), F.sum("runs").alias("runs"), F.sum("breaks").alias("breaks")
+    chain = Window.partitionBy("provider").orderBy("_slice", "starts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stitched = (
+        per_slice.select("provider", "_slice", F.inline(pieces))
+        .withColumn("_run", F.sum("starts").over(chain)).groupBy("provider", "_run").agg(F.sum("len").alias("_len"))
+        .groupBy("provider").agg(
+            F.max("_len").alias("longest"), F.count_if(F.col("_len") > 0).alias("runs"),
+            F.count_if(F.col("_len") >= breaker).alias("breaks"),
+        )
     )
-    zero = F.lit(0)
-    return log.select("provider").distinct().join(found, "provider", "left").select(
-        "provider", F.coalesce("longest", zero).alias("longest_streak"), F.coalesce("runs", zero).alias("streaks"),
-        F.coalesce("breaks", zero).alias("breaker_streaks"),
+    return per_slice.select("provider", "longest", "runs", "breaks").unionByName(stitched).groupBy("provider").agg(
+        F.coalesce(F.max("longest"), F.lit(0)).alias("longest_streak"), F.sum("runs").alias("streaks"),
+        F.sum("breaks").alias("breaker_streaks"),
     )
 
 

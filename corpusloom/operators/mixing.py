@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.operators.chat import tag_source
 from corpusloom.operators.filters import exclude_task_types
-from corpusloom.operators.quantiles import medians
+from corpusloom.operators.quantiles import median, with_positions
 from corpusloom.operators.validation import quick_valid_messages
 
 MIXED_COLUMNS = ["messages", "source", "task_type", "language"]
@@ -40,8 +40,28 @@ def mix_sources(
     return quick_valid_messages(union).select(*MIXED_COLUMNS, *(keep or []))
 
 
-def _lengths() -> Column:
-    return F.transform("messages", lambda m: F.coalesce(F.length(m["content"]), F.lit(0)))
+_FACT = "struct<stat:string,key:string,value:bigint>"
+
+
+def _facts(df: DataFrame, tags: list[str]) -> DataFrame:
+    """Counts ``n`` of every ``(stat, key, value)`` fact of the records: messages per record, and per
+    message its length and role, and the record's tags.
+
+    One scan and one aggregation, combined on the map side; its size depends on the number of
+    different lengths and tags, not on the number of records. All statistics are read from it.
+    """
+
+    def fact(stat: str, key: Column | None = None, value: Column | None = None) -> Column:
+        return F.struct(
+            F.lit(stat), F.lit(None).cast("string") if key is None else key, F.lit(None) if value is None else value
+        ).cast(_FACT)
+
+    per_record = [fact("messages", value=F.coalesce(F.size("messages"), F.lit(0)))] + [fact(t, F.col(t)) for t in tags]
+    messages = F.coalesce("messages", F.array().cast("array<struct<role:string,content:string>>"))
+    lengths = F.transform(messages, lambda m: fact("length", value=F.coalesce(F.length(m["content"]), F.lit(0))))
+    roles = F.transform(messages, lambda m: fact("role", F.coalesce(m["role"], F.lit("unknown"))))
+    facts = df.select(F.inline(F.concat(F.array(*per_record), lengths, roles)))
+    return facts.groupBy("stat", "key", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _rows(*triples: tuple[str, Column, Column]) -> Column:
@@ -51,72 +71,55 @@ def _rows(*triples: tuple[str, Column, Column]) -> Column:
     ])
 
 
+def _weighted_mean() -> Column:
+    return F.sum(F.col("value") * F.col("n")) / F.sum("n")
+
+
 def mix_stats(df: DataFrame) -> DataFrame:
     """Rows ``(stat, key, value)``: totals, content lengths, records and share per source, messages
-    per role.
-
-    Records and messages are first counted per (source, role); all statistics come from that table.
-    """
-    lengths = _lengths()
+    per role."""
     none = F.lit(None).cast("string")
-    per_record = df.select(
-        F.coalesce("source", F.lit("unknown")).alias("source"), F.size("messages").alias("n"),
-        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("chars"),
-        F.array_max(lengths).alias("longest"), F.array_min(lengths).alias("shortest"),
-    )
-    by_source = per_record.groupBy("source").agg(
-        F.count(F.lit(1)).alias("records"), F.sum("n").alias("messages"), F.sum("chars").alias("chars"),
-        F.max("longest").alias("longest"), F.min("shortest").alias("shortest"),
-    )
-    totals = by_source.agg(
-        F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.coalesce(F.sum("messages"), F.lit(0)).alias("messages"),
-        F.sum("chars").alias("chars"), F.max("longest").alias("longest"), F.min("shortest").alias("shortest"),
-    )
-    overall = totals.select(F.inline(_rows(
-        ("total_records", none, F.col("records")), ("total_messages", none, F.col("messages")),
-        ("avg_content_len", none, F.coalesce(F.col("chars") / F.nullif(F.col("messages"), F.lit(0)), F.lit(0.0))),
+    facts = _facts(df.withColumn("source", F.coalesce("source", F.lit("unknown"))), ["source"])
+
+    def total(stat: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("stat") == stat, F.col("n"))), F.lit(0))
+
+    length = F.when(F.col("stat") == "length", F.col("value"))
+    overall = facts.agg(
+        total("messages").alias("records"), total("length").alias("turns"),
+        F.sum(length * F.col("n")).alias("chars"), F.max(length).alias("longest"), F.min(length).alias("shortest"),
+    ).select(F.inline(_rows(
+        ("total_records", none, F.col("records")), ("total_messages", none, F.col("turns")),
+        ("avg_content_len", none, F.coalesce(F.col("chars") / F.nullif("turns", F.lit(0)), F.lit(0.0))),
         ("max_content_len", none, F.coalesce("longest", F.lit(0))),
         ("min_content_len", none, F.coalesce("shortest", F.lit(0))),
     )))
-    share = F.lit(100.0) * F.col("records") / totals.select("records").scalar()
-    sources = by_source.select(F.inline(_rows(
-        ("source_count", F.col("source"), F.col("records")), ("source_percent", F.col("source"), share),
+    # the window runs over one row per source
+    share = F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy("stat"))
+    sources = facts.filter("stat = 'source'").withColumn("share", share).select(F.inline(_rows(
+        ("source_count", F.col("key"), F.col("n")), ("source_percent", F.col("key"), F.col("share")),
     )))
-    roles = (
-        df.select(F.explode("messages").alias("m")).groupBy(F.coalesce("m.role", F.lit("unknown")).alias("role"))
-        .agg(F.count(F.lit(1)).alias("n")).select(F.inline(_rows(("role_count", F.col("role"), F.col("n")))))
-    )
+    roles = facts.filter("stat = 'role'").select(F.inline(_rows(("role_count", F.col("key"), F.col("n")))))
     return overall.unionByName(sources).unionByName(roles)
 
 
 def chat_stats(df: DataFrame) -> DataFrame:
     """Rows ``(stat, key, value)``: messages per entry and content length (mean, median, range),
     counts by role, source, task type and language; absent keys are skipped."""
-    everything = F.lit("all")
-    entries = df.select(everything.alias("_g"), F.coalesce(F.size("messages"), F.lit(0)).alias("v"))
-    turns = df.select(F.explode("messages").alias("m"))
-    contents = turns.select(everything.alias("_g"), F.coalesce(F.length("m.content"), F.lit(0)).alias("v"))
-
-    def measure(values: DataFrame, label: str) -> DataFrame:
-        basic = values.groupBy("_g").agg(
-            F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"), F.max("v").alias("max"), F.min("v").alias("min")
-        )
-        # one row on each side
-        both = basic.join(medians(values, ["_g"], "v", "median"), "_g")
-        none = F.lit(None).cast("string")
-        return both.select(F.inline(_rows(*[(f"{label}_{s}", none, F.col(s)) for s in ("mean", "median", "max", "min")])))
-
-    total = df.agg(F.count(F.lit(1)).alias("n")).select(
-        F.inline(_rows(("total_entries", F.lit(None).cast("string"), F.col("n"))))
+    none = F.lit(None).cast("string")
+    facts = _facts(df, [c for c in ("source", "task_type", "language") if c in df.columns])
+    measured = with_positions(facts.filter("stat IN ('messages', 'length')"), ["stat"], "value").groupBy("stat").agg(
+        F.sum("n").alias("rows"), _weighted_mean().alias("mean"), median("value").alias("median"),
+        F.max("value").alias("max"), F.min("value").alias("min"),
+    )
+    numbers = measured.select(F.inline(F.array(*[
+        F.struct(F.concat("stat", F.lit(f"_{s}")).alias("stat"), none.alias("key"), F.col(s).cast("double").alias("value"))
+        for s in ("mean", "median", "max", "min")
+    ])))
+    entries = facts.filter("stat = 'messages'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
+        F.inline(_rows(("total_entries", none, F.col("n"))))
     )
-    parts = [total, measure(entries, "messages"), measure(contents, "length")]
-    parts.append(
-        turns.groupBy(F.coalesce("m.role", F.lit("unknown")).alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        .select(F.inline(_rows(("role", F.col("k"), F.col("n")))))
+    counts = facts.filter("stat NOT IN ('messages', 'length') AND key IS NOT NULL").select(
+        "stat", "key", F.col("n").cast("double").alias("value")
     )
-    dims = [c for c in ("source", "task_type", "language") if c in df.columns]
-    if dims:
-        tags = F.array(*[F.struct(F.lit(c).alias("stat"), F.col(c).alias("k")) for c in dims])
-        counted = df.select(F.inline(tags)).filter("k IS NOT NULL").groupBy("stat", "k").agg(F.count(F.lit(1)).alias("n"))
-        parts.append(counted.select("stat", F.col("k").alias("key"), F.col("n").cast("double").alias("value")))
-    return reduce(DataFrame.unionByName, parts)
+    return entries.unionByName(numbers).unionByName(counts)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text
 from corpusloom.functions.keys import pick
+from corpusloom.operators.dedup import latest_per_key
 
 # Task names, prompt wording, instructions and the per-task answer budget.
 TASK_TYPES = ["code_gen", "explanation", "completion"]
@@ -149,9 +150,10 @@ def agent_turn1(files: DataFrame, book: PromptBook) -> DataFrame:
 
 
 def agent_turn2(turn1: DataFrame, responses: DataFrame, book: PromptBook) -> DataFrame:
-    """Second turn: the first turn, its answer and a fixed request. Sessions whose first turn failed
-    have no second one."""
-    answered = responses.filter((F.col("turn") == 1) & F.col("error").isNull()).select("source_file_id", "content")
+    """Second turn: the first turn, its latest answer and a fixed request. Sessions whose first turn
+    failed have no second one."""
+    first = latest_per_key(responses.filter(F.col("turn") == 1), ["source_file_id"])
+    answered = first.filter(F.col("error").isNull()).select("source_file_id", "content")
     history = F.concat(
         "messages",
         F.array(message("assistant", F.col("content")), message("user", book.fill(book.generate, {}))),
@@ -163,10 +165,11 @@ def agent_turn2(turn1: DataFrame, responses: DataFrame, book: PromptBook) -> Dat
 
 
 def prompt_response_pairing(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """One row per session with both turns side by side; a missing second turn gives nulls."""
+    """One row per session with both turns side by side; a missing second turn gives nulls. Of
+    repeated turns the latest counts, so a much repeated session stays one row."""
     keys = keys or ["provider", "source_file_id"]
     sides = []
     for turn in (1, 2):
-        side = log.filter(F.col("turn") == turn)
+        side = latest_per_key(log.filter(F.col("turn") == turn), keys)
         sides.append(side.select(*keys, *[F.col(c).alias(f"turn{turn}_{c}") for c in ("request_id", "content", "error")]))
     return sides[0].join(sides[1], keys, "left")

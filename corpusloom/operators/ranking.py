@@ -16,11 +16,13 @@ def global_row_number(df: DataFrame, order: list[str | Column], alias: str = "ro
 
     Rows are range partitioned and sorted, then checkpointed: partition membership and row order
     have to be the same for the counting pass and the numbering pass, also after an executor is
-    lost. What is collected is one count per partition.
+    lost. What is collected is one count per partition. A hash of the row breaks ties, so that
+    equal keys do not all land in one range.
     """
     shared_dir(df.sparkSession)
-    by_range = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
-    placed = by_range.sortWithinPartitions(*order).checkpoint()
+    keys = [*order, F.xxhash64(*df.columns)]
+    by_range = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    placed = by_range.sortWithinPartitions(*keys).checkpoint()
     numbered = placed.withColumn("_mid", F.monotonically_increasing_id())
     part = F.shiftright("_mid", _ROW_BITS).cast("int")
     counts = numbered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n")).orderBy("_part").collect()

@@ -21,8 +21,7 @@ QUOTA_OFFICIAL = 4
 QUOTA_COMPLEXITY = {"simple": 7, "medium": 7, "complex": 6}
 QUOTA_SOURCE = {"src": 10, "test": 6, "examples": 4}
 
-_DRIVER_ROWS = 10_000
-_BUCKETS = 65_536
+_BUCKET_DIGITS = 5  # 16**5 = 1,048,576 hash buckets
 
 
 def shuffle_rows(df: DataFrame, seed: int = SEED, id_col: str = "id") -> DataFrame:
@@ -30,57 +29,57 @@ def shuffle_rows(df: DataFrame, seed: int = SEED, id_col: str = "id") -> DataFra
     return df.orderBy(seeded_hash(seed, id_col), id_col)
 
 
-def _ranked_membership(df: DataFrame, seed: int, id_col: str, n: int | None, fraction: float | None) -> DataFrame:
-    """``df`` with ``_chosen``: whether the row is among the first n (or the fraction) in hash order.
+def _first_in_hash_order(df: DataFrame, seed: int, id_col: str, n: int | None = None, fraction: float | None = None) -> Column:
+    """Predicate: the row is among the first ``n`` rows (or the first ``ceil(fraction * rows)``).
 
-    The hash space is cut into 65,536 buckets. A histogram tells in which bucket the cut falls:
-    rows in other buckets are decided by comparing two numbers, only that one bucket is ranked.
+    A top-n would send n rows of every task to one place. Instead the cut is located on the id
+    column alone: a histogram over about a million hash buckets names the bucket it falls in, and
+    the ids of that bucket are counted in order. Choosing the rows is then a comparison with one
+    value, in a scan without a shuffle. Ids should be unique: rows with the same id go together.
     """
-    hashed = df.withColumn("_h", seeded_hash(seed, id_col)).withColumn("_b", hash_number(F.col("_h"), 4))
-    sizes = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    until = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = Window.partitionBy(F.lit(1))
-    wanted = F.lit(n).cast("long") if n is not None else F.ceil(F.sum("_n").over(total) * F.lit(fraction)).cast("long")
-    spread = sizes.select("_b", "_n", F.sum("_n").over(until).alias("_until"), wanted.alias("_want"))
-    # one row: the bucket that holds the cut and how many of its rows are inside
+    if n == 0 or fraction == 0:
+        return F.lit(False)
+    hashed = seeded_hash(seed, id_col)
+    ids = df.select(F.col(id_col).alias("_id"), hashed.alias("_h")).withColumn("_b", hash_number(F.col("_h"), _BUCKET_DIGITS))
+    sizes = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    if n is None:
+        rows = sizes.agg(F.sum("_n")).scalar()
+        wanted = F.ceil(rows * F.lit(fraction)).cast("long")
+    else:
+        wanted = F.lit(n).cast("long")
+    running = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spread = sizes.select("_b", "_n", F.sum("_n").over(running).alias("_until"), wanted.alias("_want"))
     cut = spread.filter("_until >= _want and _until - _n < _want").agg(
-        F.coalesce(F.min("_b"), F.lit(_BUCKETS)).alias("b"),
-        F.coalesce(F.min(F.col("_want") - F.col("_until") + F.col("_n")), F.lit(0)).alias("m"),
+        F.first(F.struct(F.col("_b").alias("b"), (F.col("_want") - F.col("_until") + F.col("_n")).alias("m")))
+    ).scalar()
+    in_order = Window.orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = (
+        ids.filter(F.col("_b") == cut["b"]).groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_h", "_id", F.sum("_n").over(in_order).alias("_until")).filter(F.col("_until") >= cut["m"])
+        .agg(F.min(F.struct("_h", "_id"))).scalar()
     )
-    if n == 0 or fraction == 0:
-        return df.withColumn("_chosen", F.lit(False))
-    found = cut.select(F.struct("b", "m")).scalar()
-    bucket, inside = found["b"], found["m"]
-    order = Window.partitionBy("_b").orderBy("_h", id_col)
-    edge = hashed.filter(F.col("_b") == bucket).withColumn("_chosen", F.row_number().over(order) <= inside)
-    clear = hashed.filter(F.col("_b") != bucket).withColumn("_chosen", F.col("_b") < bucket)
-    return clear.unionByName(edge).drop("_h", "_b")
+    # no cut: fewer rows than asked for, so all of them are in
+    return F.coalesce(F.struct(hashed.alias("_h"), F.col(id_col).alias("_id")) <= last, F.lit(True))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id") -> DataFrame:
-    """Exactly n rows, or all rows when there are fewer.
-
-    Small samples are a top-n; larger ones never pass through the driver.
-    """
-    if n <= _DRIVER_ROWS:
-        return shuffle_rows(df, seed, id_col).limit(n)
-    return _ranked_membership(df, seed, id_col, n, None).filter("_chosen").drop("_chosen")
+    """Exactly n rows, or all rows when there are fewer."""
+    return df.filter(_first_in_hash_order(df, seed, id_col, n=n))
 
 
 def shuffle_take(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id") -> DataFrame:
-    """First n rows of the seeded permutation; exact, so no shuffle buffer is involved."""
-    return sample_n(df, n, seed, id_col)
+    """First n rows of the seeded permutation, in its order; exact, so no shuffle buffer is involved."""
+    return shuffle_rows(sample_n(df, n, seed, id_col), seed, id_col)
 
 
 def train_eval_split(df: DataFrame, fraction: float = EVAL_FRACTION, seed: int = SEED, id_col: str = "id",
                      exact: bool = False) -> DataFrame:
-    """Add ``split`` (``train``/``eval``). By default each row is decided by its own hash (no
-    shuffle); ``exact`` puts ``ceil(fraction * rows)`` rows into eval."""
+    """Add ``split`` (``train``/``eval``). By default each row is decided by its own hash; ``exact``
+    puts ``ceil(fraction * rows)`` rows into eval. Neither way shuffles the rows."""
     if exact:
-        tagged = _ranked_membership(df, seed, id_col, None, fraction)
-        return tagged.withColumn("split", F.when(F.col("_chosen"), "eval").otherwise("train")).drop("_chosen")
-    limit = math.floor(fraction * 2**32)
-    inside = hash_number(seeded_hash(seed, id_col)) < F.lit(limit)
+        inside = _first_in_hash_order(df, seed, id_col, fraction=fraction)
+    else:
+        inside = hash_number(seeded_hash(seed, id_col)) < F.lit(math.floor(fraction * 2**32))
     return df.withColumn("split", F.when(inside, "eval").otherwise("train"))
 
 
@@ -158,7 +157,7 @@ def stratified_sample(df: DataFrame, n: int = 20, seed: int = SEED, scale_quotas
     chosen = c.filter("_phase > 0").select("id", "_phase", place.alias("_place")).orderBy("_place").limit(n)
     picked = chosen.select("id", F.col("_phase").alias("phase"), "_place")
     # at most n rows, a parameter
-    return classified.join(F.broadcast(picked), "id").orderBy("_place").drop("_place")
+    return classify(df.join(F.broadcast(picked), "id"), **sizes).orderBy("_place").drop("_place")
 
 
 def sample_summary(sample: DataFrame) -> DataFrame:

@@ -19,6 +19,8 @@ def build_session(app: str = "corpusloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # rows with whole source files: keep Python batches small
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

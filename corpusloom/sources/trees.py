@@ -10,15 +10,20 @@ from corpusloom.functions.licenses import normalize_license
 from corpusloom.operators.filters import MAX_FILE_CHARS, MIN_FILE_CHARS
 
 
-def read_tree(spark: SparkSession, root: str, extension: str) -> DataFrame:
+def read_tree(spark: SparkSession, root: str, extension: str, max_chars: int = MAX_FILE_CHARS,
+              min_chars: int = MIN_FILE_CHARS) -> DataFrame:
     """``(path, content)`` of one extension below ``root``, the path relative to it.
 
+    Sizes that cannot satisfy the character bounds are skipped by the source, unread: a character
+    takes one to four bytes.
+
     Spark's listing hides names that start with ``.`` or ``_``. Trees with ``_`` names have to come
     in as a ready ``(path, content)`` table.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", f"*.{extension}").load(root)
+        .filter(F.col("length").between(min_chars, 4 * max_chars))
     )
     prefix = root.rstrip("/").removeprefix("file:") + "/"
     return files.select(F.substring_index("path", prefix, -1).alias("path"), "content")
@@ -45,8 +50,8 @@ def extract_files(
 
     ``files`` has ``path`` (relative to the repository) and ``content`` (bytes), plus repository
     columns ``repo_owner, repo_name, repo_url, repo_description, stars, license_raw, authors,
-    package, package_downloads, fork, archived, commit_sha``; missing ones become null. The byte
-    bound is applied before decoding: a text of n characters has at least n bytes.
+    package, package_downloads, fork, archived, commit_sha``; missing ones become null. Byte bounds
+    come before decoding: a character takes one to four bytes.
     """
     optional = {
         "repo_url": "string", "repo_description": "string", "stars": "long", "license_raw": "string",
@@ -58,7 +63,7 @@ def extract_files(
             files = files.withColumn(name, F.lit(None).cast(kind))
     stamp = F.lit(collected_at) if collected_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     wanted = files.filter(F.col("path").endswith(f".{extension}") & visible_path(F.col("path"))).filter(
-        F.octet_length("content") >= min_chars
+        F.octet_length("content").between(min_chars, 4 * max_chars)
     )
     decoded = wanted.withColumn("code", text.normalize_newlines(text.decode_utf8("content"))).filter(
         F.length("code").between(min_chars, max_chars)

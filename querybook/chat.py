@@ -92,7 +92,7 @@ def sessions(spark, sf):
 
     newest = latest_per_key(gen_fx(spark, sf), log_ops.LOG_KEYS, tie="request_seq")
     return newest.filter(F.col("task_type").isin("code_gen", "completion")).select(
-        "source_file_id", F.col("request_seq").alias("request_id"), "content", "error",
+        "source_file_id", F.col("request_seq").alias("request_id"), "timestamp", "content", "error",
         F.when(F.col("task_type") == "code_gen", 1).otherwise(2).alias("turn"),
     )
 

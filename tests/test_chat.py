@@ -137,7 +137,9 @@ def test_template_chars_is_the_longest_prompt_around_empty_code(spark):
 
 def test_failed_first_turn_has_no_second(spark):
     files = spark.createDataFrame([("f", "c", "r"), ("g", "c", "r")], "id string, code string, repo_name string")
-    answers = spark.createDataFrame([("f", 1, "fine", None), ("g", 1, None, "boom")], "source_file_id string, turn int, content string, error string")
+    answers = spark.createDataFrame(
+        [("f", 1, "fine", None, "2", "a"), ("f", 1, "old", None, "1", "b"), ("g", 1, None, "boom", "1", "c")],
+        "source_file_id string, turn int, content string, error string, timestamp string, request_id string")
     turn2 = prompts.agent_turn2(prompts.agent_turn1(files, BOOK), answers, BOOK).collect()
     assert [r["source_file_id"] for r in turn2] == ["f"]
     assert [m["role"] for m in turn2[0]["messages"]] == ["system", "user", "assistant", "user"]

@@ -38,15 +38,20 @@ def test_ranking_of_equal_keys_and_empty_input(spark):
 @pytest.mark.parametrize("n", [0, 1, 37, 5000, 20_000, 24_999, 25_000, 30_000])
 def test_large_samples_are_exact(spark, n):
     df = spark.range(25_000)
-    got = sampling._ranked_membership(df, 42, "id", n, None).filter("_chosen")
-    assert sorted(r["id"] for r in got.select("id").collect()) == sorted(order(range(25_000))[:n])
+    got = sampling.sample_n(df, n)
+    assert sorted(r["id"] for r in got.collect()) == sorted(order(range(25_000))[:n])
+    assert "Exchange" not in got._jdf.queryExecution().sparkPlan().toString()
 
 
-def test_sample_paths_agree(spark, monkeypatch):
-    df = spark.range(3000)
-    small = sorted(r["id"] for r in sampling.sample_n(df, 700).collect())
-    monkeypatch.setattr(sampling, "_DRIVER_ROWS", 10)
-    assert sorted(r["id"] for r in sampling.sample_n(df, 700).collect()) == small
+def test_sample_with_a_hot_id_and_null_ids(spark):
+    df = spark.range(900).selectExpr("CASE WHEN id < 300 THEN 'hot' WHEN id < 310 THEN NULL ELSE CAST(id AS STRING) END AS id")
+    got = sampling.sample_n(df, 450).groupBy("id").count().collect()
+    assert {r["id"]: r["count"] for r in got}.get("hot", 0) in (0, 300)
+    assert sampling.sample_n(df, 10_000).count() == 900
+
+
+def test_shuffle_take_is_ordered(spark):
+    assert [r["id"] for r in sampling.shuffle_take(spark.range(500), 20, 7).collect()] == order(range(500), 7)[:20]
 
 
 @pytest.mark.parametrize("exact", [False, True])
