@@ -19,7 +19,11 @@ RECORD_LICENSE = "Apache-2.0"
 
 def join_training_to_corpus(training: DataFrame, corpus: DataFrame, tie: str | None = None) -> DataFrame:
     """Training rows with the code and repository of their source file. A file id occurring more
-    than once in the corpus counts once: its last record by ``tie``."""
+    than once in the corpus counts once: its last record by ``tie``.
+
+    The corpus is cut down to the wanted ids before any text is shuffled, so ``training`` is used
+    twice; pass a stored table rather than a long plan.
+    """
     columns = ["code", "repo_name", "repo_url"]
     order = [F.desc_nulls_last(tie)] if tie else [F.desc("repo_url"), F.desc(F.sha2("code", 256))]
     wanted = corpus.join(training.select(F.col("source_file_id").alias("id")).distinct(), "id", "left_semi")

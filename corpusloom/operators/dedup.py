@@ -26,22 +26,13 @@ def dedup_content(df: DataFrame, code: str = "code", stars: str = "stars", id_co
     and pays off when texts are long and mostly distinct; the result is the same.
     """
     order = [F.desc_nulls_last(stars), F.asc_nulls_last(id_col)]
-    keyed = df.withColumn("_digest", digest(code))
+    keyed = df.withColumn("_digest", F.coalesce(digest(code), F.lit(b"")))
     if not duplicates_only:
         return first_per_key(keyed, ["_digest"], order).drop("_digest")
-    repeated = (
-        keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1 and _digest is not null")
-        .select("_digest")
-    )
-    null_rows = first_per_key(keyed.filter(F.col("_digest").isNull()), ["_digest"], order)
-    unique = keyed.filter(F.col("_digest").isNotNull()).join(repeated, "_digest", "left_anti")
+    repeated = keyed.groupBy("_digest").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_digest")
+    unique = keyed.join(repeated, "_digest", "left_anti")
     shared = keyed.join(repeated, "_digest", "left_semi")
-    columns = df.columns
-    return (
-        unique.select(columns)
-        .unionByName(first_per_key(shared, ["_digest"], order).select(columns))
-        .unionByName(null_rows.select(columns))
-    )
+    return unique.select(df.columns).unionByName(first_per_key(shared, ["_digest"], order).select(df.columns))
 
 
 def latest_per_key(

@@ -189,23 +189,25 @@ def error_streaks(df: DataFrame, seq: str = "request_seq", breaker: int = BREAKE
         F.coalesce(F.max(F.when(island == 0, length)), F.lit(0)).alias("_lead"),
         F.coalesce(F.max(F.when(island == top, length)), F.lit(0)).alias("_trail"),
     )
-    # a slice without any success is one piece that lets a run pass through
+    # the lead of a slice continues the run before it, its trail starts a new one; a slice without any
+    # success is one piece that lets a run pass through
     piece = "struct<starts:int,len:bigint>"
-    pieces = F.when(top == 0, F.array(F.struct(F.lit(0), "_lead").cast(piece))).otherwise(
-        F.array(F.struct(F.lit(0), "_lead").cast(piece), F.struct(F.lit(1), "_trail").cast(piece))
-    )
+    lead, trail = F.struct(F.lit(0), "_lead").cast(piece), F.struct(F.lit(1), "_trail").cast(piece)
+    pieces = F.when(top == 0, F.array(lead)).otherwise(F.array(lead, trail))
     chain = Window.partitionBy("provider").orderBy("_slice", "starts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = F.col("starts") == 0
     stitched = (
-        per_slice.select("provider", "_slice", F.inline(pieces))
-        .withColumn("_run", F.sum("starts").over(chain)).groupBy("provider", "_run").agg(F.sum("len").alias("_len"))
-        .groupBy("provider").agg(
-            F.max("_len").alias("longest"), F.count_if(F.col("_len") > 0).alias("runs"),
-            F.count_if(F.col("_len") >= breaker).alias("breaks"),
+        per_slice.select("provider", "_slice", "longest", "runs", "breaks", F.inline(pieces))
+        .withColumn("_run", F.sum("starts").over(chain)).groupBy("provider", "_run").agg(
+            F.sum("len").alias("_len"), F.max(F.when(first, F.col("longest"))).alias("longest"),
+            F.sum(F.when(first, F.col("runs"))).alias("runs"), F.sum(F.when(first, F.col("breaks"))).alias("breaks"),
         )
     )
-    return per_slice.select("provider", "longest", "runs", "breaks").unionByName(stitched).groupBy("provider").agg(
-        F.coalesce(F.max("longest"), F.lit(0)).alias("longest_streak"), F.sum("runs").alias("streaks"),
-        F.sum("breaks").alias("breaker_streaks"),
+    zero = F.lit(0)
+    return stitched.groupBy("provider").agg(
+        F.greatest(F.max("_len"), F.coalesce(F.max("longest"), zero)).alias("longest_streak"),
+        (F.count_if(F.col("_len") > 0) + F.coalesce(F.sum("runs"), zero)).alias("streaks"),
+        (F.count_if(F.col("_len") >= breaker) + F.coalesce(F.sum("breaks"), zero)).alias("breaker_streaks"),
     )
 
 

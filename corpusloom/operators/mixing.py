@@ -61,65 +61,65 @@ def _facts(df: DataFrame, tags: list[str]) -> DataFrame:
     lengths = F.transform(messages, lambda m: fact("length", value=F.coalesce(F.length(m["content"]), F.lit(0))))
     roles = F.transform(messages, lambda m: fact("role", F.coalesce(m["role"], F.lit("unknown"))))
     facts = df.select(F.inline(F.concat(F.array(*per_record), lengths, roles)))
-    return facts.groupBy("stat", "key", "value").agg(F.count(F.lit(1)).alias("n"))
+    counted = facts.groupBy("stat", "key", "value").agg(F.count(F.lit(1)).alias("n"))
+    # totals of zero for an empty dataset
+    nothing = df.sparkSession.range(1).select(
+        F.lit("messages").alias("stat"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("long").alias("value"),
+        F.lit(0).cast("long").alias("n"),
+    )
+    return counted.unionByName(nothing)
 
 
-def _rows(*triples: tuple[str, Column, Column]) -> Column:
-    return F.array(*[
-        F.struct(F.lit(stat).alias("stat"), key.alias("key"), value.cast("double").alias("value"))
-        for stat, key, value in triples
-    ])
+def _summaries(facts: DataFrame) -> DataFrame:
+    """One row per (stat, key): count, mean, median and range of the values."""
+    weighted = F.col("value") * F.col("n")
+    return with_positions(facts, ["stat", "key"], "value").groupBy("stat", "key").agg(
+        F.sum("n").alias("n"), (F.sum(weighted) / F.nullif(F.sum("n"), F.lit(0))).alias("mean"), median("value").alias("median"),
+        F.max("value").alias("max"), F.min("value").alias("min"),
+    )
 
 
-def _weighted_mean() -> Column:
-    return F.sum(F.col("value") * F.col("n")) / F.sum("n")
+def _lines(*lines: tuple[str, Column, Column]) -> Column:
+    """Array of report rows to inline; entries without a value are dropped."""
+    return F.filter(F.array(*[
+        F.struct(F.lit(stat).alias("stat"), key.alias("key"), value.cast("double").alias("value")) for stat, key, value in lines
+    ]), lambda r: r["value"].isNotNull())
 
 
 def mix_stats(df: DataFrame) -> DataFrame:
     """Rows ``(stat, key, value)``: totals, content lengths, records and share per source, messages
     per role."""
-    none = F.lit(None).cast("string")
+    none, key, n = F.lit(None).cast("string"), F.col("key"), F.col("n")
     facts = _facts(df.withColumn("source", F.coalesce("source", F.lit("unknown"))), ["source"])
-
-    def total(stat: str) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("stat") == stat, F.col("n"))), F.lit(0))
-
-    length = F.when(F.col("stat") == "length", F.col("value"))
-    overall = facts.agg(
-        total("messages").alias("records"), total("length").alias("turns"),
-        F.sum(length * F.col("n")).alias("chars"), F.max(length).alias("longest"), F.min(length).alias("shortest"),
-    ).select(F.inline(_rows(
-        ("total_records", none, F.col("records")), ("total_messages", none, F.col("turns")),
-        ("avg_content_len", none, F.coalesce(F.col("chars") / F.nullif("turns", F.lit(0)), F.lit(0.0))),
-        ("max_content_len", none, F.coalesce("longest", F.lit(0))),
-        ("min_content_len", none, F.coalesce("shortest", F.lit(0))),
-    )))
-    # the window runs over one row per source
-    share = F.lit(100.0) * F.col("n") / F.sum("n").over(Window.partitionBy("stat"))
-    sources = facts.filter("stat = 'source'").withColumn("share", share).select(F.inline(_rows(
-        ("source_count", F.col("key"), F.col("n")), ("source_percent", F.col("key"), F.col("share")),
-    )))
-    roles = facts.filter("stat = 'role'").select(F.inline(_rows(("role_count", F.col("key"), F.col("n")))))
-    return overall.unionByName(sources).unionByName(roles)
+    # one row per source, role and measure from here on
+    summary = _summaries(facts).withColumn("share", F.lit(100.0) * n / F.sum("n").over(Window.partitionBy("stat")))
+    lines = (
+        F.when(F.col("stat") == "messages", _lines(("total_records", none, n)))
+        .when(F.col("stat") == "length", _lines(
+            ("total_messages", none, n), ("avg_content_len", none, F.col("mean")), ("max_content_len", none, F.col("max")),
+            ("min_content_len", none, F.col("min")),
+        ))
+        .when(F.col("stat") == "source", _lines(("source_count", key, n), ("source_percent", key, F.col("share"))))
+        .otherwise(_lines(("role_count", key, n)))
+    )
+    return summary.select(F.inline(lines))
 
 
 def chat_stats(df: DataFrame) -> DataFrame:
     """Rows ``(stat, key, value)``: messages per entry and content length (mean, median, range),
     counts by role, source, task type and language; absent keys are skipped."""
     none = F.lit(None).cast("string")
-    facts = _facts(df, [c for c in ("source", "task_type", "language") if c in df.columns])
-    measured = with_positions(facts.filter("stat IN ('messages', 'length')"), ["stat"], "value").groupBy("stat").agg(
-        F.sum("n").alias("rows"), _weighted_mean().alias("mean"), median("value").alias("median"),
-        F.max("value").alias("max"), F.min("value").alias("min"),
-    )
-    numbers = measured.select(F.inline(F.array(*[
-        F.struct(F.concat("stat", F.lit(f"_{s}")).alias("stat"), none.alias("key"), F.col(s).cast("double").alias("value"))
-        for s in ("mean", "median", "max", "min")
-    ])))
-    entries = facts.filter("stat = 'messages'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(
-        F.inline(_rows(("total_entries", none, F.col("n"))))
+    summary = _summaries(_facts(df, [c for c in ("source", "task_type", "language") if c in df.columns]))
+
+    def measures(label: str) -> list[tuple[str, Column, Column]]:
+        return [(f"{label}_{m}", none, F.col(m)) for m in ("mean", "median", "max", "min")]
+
+    tag = F.filter(
+        F.array(F.struct("stat", "key", F.col("n").cast("double").alias("value"))), lambda r: r["key"].isNotNull()
     )
-    counts = facts.filter("stat NOT IN ('messages', 'length') AND key IS NOT NULL").select(
-        "stat", "key", F.col("n").cast("double").alias("value")
+    lines = (
+        F.when(F.col("stat") == "messages", _lines(("total_entries", none, F.col("n")), *measures("messages")))
+        .when(F.col("stat") == "length", _lines(*measures("length")))
+        .otherwise(tag)
     )
-    return entries.unionByName(numbers).unionByName(counts)
+    return summary.select(F.inline(lines))

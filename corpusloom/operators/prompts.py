@@ -166,10 +166,13 @@ def agent_turn2(turn1: DataFrame, responses: DataFrame, book: PromptBook) -> Dat
 
 def prompt_response_pairing(log: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row per session with both turns side by side; a missing second turn gives nulls. Of
-    repeated turns the latest counts, so a much repeated session stays one row."""
+    repeated turns the latest counts. One aggregation does it; no side is joined with the other."""
     keys = keys or ["provider", "source_file_id"]
-    sides = []
-    for turn in (1, 2):
-        side = latest_per_key(log.filter(F.col("turn") == turn), keys)
-        sides.append(side.select(*keys, *[F.col(c).alias(f"turn{turn}_{c}") for c in ("request_id", "content", "error")]))
-    return sides[0].join(sides[1], keys, "left")
+    fields = ["request_id", "content", "error"]
+
+    def latest(turn: int) -> Column:
+        here = F.col("turn") == turn
+        return F.max_by(F.when(here, F.struct(*fields)), F.when(here, F.struct("timestamp", "request_id"))).alias(f"turn{turn}")
+
+    paired = log.groupBy(*keys).agg(latest(1), latest(2)).filter(F.col("turn1").isNotNull())
+    return paired.select(*keys, *[F.col(f"turn{t}")[f].alias(f"turn{t}_{f}") for t in (1, 2) for f in fields])

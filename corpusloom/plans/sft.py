@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import chat, filters, genlog, mixing, prompts, ranking, registry, respond, sampling
 from corpusloom.sources.jsonl import append_records
+from corpusloom.sources.parquet import raw_snapshot
 
 
 def load_files(corpus: DataFrame, max_files: int, seed: int = sampling.SEED, excluded_repos: list[str] | None = None,
@@ -42,10 +43,10 @@ def generate_batch(files: DataFrame, state: DataFrame, book: prompts.PromptBook,
     append_records(stamped, log_path)
 
 
-def chat_records(log: DataFrame, corpus: DataFrame, book: prompts.PromptBook, tie: str = "request_id",
+def chat_records(log: DataFrame, corpus: DataFrame, book: prompts.PromptBook, training_path: str, tie: str = "request_id",
                  prefix: str = "sft") -> DataFrame:
-    """Clean the log, rebuild the conversations and number them in output order."""
-    training = genlog.clean_log(log, tie=tie)
+    """Clean the log into ``training_path``, rebuild the conversations and number them in order."""
+    training = raw_snapshot(genlog.clean_log(log, tie=tie), training_path)
     records = chat.to_chat_record(chat.join_training_to_corpus(training, corpus), book)
     return ranking.dense_ids(records, ["task_type", "source_file_id"], prefix).select(chat.CHAT_COLUMNS)
 

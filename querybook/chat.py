@@ -8,6 +8,8 @@ from corpusloom.operators import chat, filters, mixing, prompts, ranking, valida
 from corpusloom.operators import genlog as log_ops
 from corpusloom.operators.respond import batch_respond
 from corpusloom.operators.sampling import shuffle_rows
+from corpusloom.session import scratch_path
+from corpusloom.sources.parquet import raw_snapshot
 from querybook.fixtures import chat_fx, corpus_fx, gen_fx, sql, table
 from querybook.registry import query
 
@@ -55,7 +57,8 @@ _TASKS = "(SELECT unnest(['code_gen', 'explanation', 'completion']) AS task_type
 
 
 def training(spark, sf):
-    return log_ops.clean_log(gen_fx(spark, sf), tie="request_seq")
+    """Cleaned log, stored first: the join below reads it twice."""
+    return raw_snapshot(log_ops.clean_log(gen_fx(spark, sf), tie="request_seq"), scratch_path(spark, "train"))
 
 
 def joined(spark, sf):

@@ -119,7 +119,7 @@ def test_sft_end_to_end(spark, tmp_path):
     assert log.count() == 42
     failed = log.filter("error IS NOT NULL").count()
     assert failed == (3 if "o/n/3" in ids and sorted(ids)[0] != "o/n/3" else 0)
-    records = sft.chat_records(log, corpus, book)
+    records = sft.chat_records(log, corpus, book, str(tmp_path / "train"))
     assert records.count() == 42 - failed
     assert [f.name for f in records.schema] == schemas.CHAT_RECORD.fieldNames()
     assert sorted(r["id"] for r in records.collect())[0] == "sft_00001"
