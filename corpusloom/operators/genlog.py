@@ -9,7 +9,7 @@ from corpusloom import schemas
 from corpusloom.functions import text, usage
 from corpusloom.operators import filters
 from corpusloom.operators.dedup import latest_per_key
-from corpusloom.operators.joins import join_small
+from corpusloom.operators.joins import join_small, small_table
 from corpusloom.operators.quantiles import median, with_positions
 
 LOG_KEYS = ["source_file_id", "task_type"]
@@ -158,32 +158,48 @@ def budget_cutoff(df: DataFrame, limit: float, balance: str = "balance", seq: st
     )
 
 
-def error_streaks(df: DataFrame, seq: str = "request_seq", breaker: int = BREAKER_AT, slices: int = 64) -> DataFrame:
+def error_streaks(df: DataFrame, seq: str = "request_seq", breaker: int = BREAKER_AT, slices: int | None = None) -> DataFrame:
     """Per provider: longest run of consecutive errors, number of runs, and runs of ``breaker`` or more.
 
-    A window over a whole provider would put it into one task. The log is cut into time slices with
-    about equal row counts; each slice finds its own runs, and the runs that touch a slice border
-    are stitched from one summary row per slice.
+    A window over a whole provider would put it into one task. The log is cut into slices with about
+    equal row counts; each slice finds its own runs, and the runs that touch a slice border are
+    stitched from one summary row per slice. Slices follow the timestamp, and the sequence number
+    inside a timestamp that fills more than one slice.
     """
+    if slices is None:
+        slices = min(512, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    steps = [i / slices for i in range(1, slices)]
     log = df.select("provider", F.unix_micros(F.col("timestamp").cast("timestamp")).alias("_ts"), F.col(seq).alias("_seq"),
                     (~succeeded()).alias("_err"))
-    cuts = log.groupBy("provider").agg(
-        F.percentile_approx("_ts", [i / slices for i in range(1, slices)], 10 * slices).alias("_cuts")
+    cuts = log.groupBy("provider").agg(F.percentile_approx("_ts", steps, 10 * slices).alias("_cuts"))
+    local = small_table(cuts)
+    cuts = cuts if local is None else F.broadcast(local)
+    sliced = log.join(cuts, "provider").select(
+        "provider", "_ts", "_seq", "_err", F.size(F.filter("_cuts", lambda c: c < F.col("_ts"))).alias("_slice"),
+        (F.size(F.filter("_cuts", lambda c: c == F.col("_ts"))) > 1).alias("_full"),
     )
-    sliced = join_small(log, cuts, "provider").select(
-        "provider", "_ts", "_seq", "_err", F.size(F.filter("_cuts", lambda c: c < F.col("_ts"))).alias("_slice")
-    )
-    whole = Window.partitionBy("provider", "_slice")
+    crowded = cuts.select("provider", F.explode("_cuts").alias("_ts")).groupBy("provider", "_ts").count().filter("count > 1")
+    if local is None or not crowded.isEmpty():
+        inner_cuts = sliced.filter("_full").groupBy("provider", "_ts").agg(
+            F.percentile_approx("_seq", steps, 10 * slices).alias("_seq_cuts")
+        )
+        sliced = join_small(sliced, inner_cuts, ["provider", "_ts"]).withColumn(
+            "_part", F.coalesce(F.size(F.filter("_seq_cuts", lambda c: c < F.col("_seq"))), F.lit(0))
+        )
+    else:
+        sliced = sliced.withColumn("_part", F.lit(0))
+    spot = ["_slice", "_part"]
+    whole = Window.partitionBy("provider", *spot)
     inside = whole.orderBy("_ts", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fine = F.count_if(~F.col("_err"))
     runs = (
         sliced.withColumns({"_island": fine.over(inside), "_top": fine.over(whole)})
-        .groupBy("provider", "_slice", "_top", "_island").agg(F.count_if("_err").alias("_len"))
+        .groupBy("provider", *spot, "_top", "_island").agg(F.count_if("_err").alias("_len"))
     )
     # island 0 touches the left border of its slice, the highest island the right border
     length, island, top = F.col("_len"), F.col("_island"), F.col("_top")
     middle = (island > 0) & (island < top) & (length > 0)
-    per_slice = runs.groupBy("provider", "_slice", "_top").agg(
+    per_slice = runs.groupBy("provider", *spot, "_top").agg(
         F.max(F.when(middle, length)).alias("longest"), F.count_if(middle).alias("runs"),
         F.count_if(middle & (length >= breaker)).alias("breaks"),
         F.coalesce(F.max(F.when(island == 0, length)), F.lit(0)).alias("_lead"),
@@ -194,10 +210,10 @@ def error_streaks(df: DataFrame, seq: str = "request_seq", breaker: int = BREAKE
     piece = "struct<starts:int,len:bigint>"
     lead, trail = F.struct(F.lit(0), "_lead").cast(piece), F.struct(F.lit(1), "_trail").cast(piece)
     pieces = F.when(top == 0, F.array(lead)).otherwise(F.array(lead, trail))
-    chain = Window.partitionBy("provider").orderBy("_slice", "starts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chain = Window.partitionBy("provider").orderBy(*spot, "starts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = F.col("starts") == 0
     stitched = (
-        per_slice.select("provider", "_slice", "longest", "runs", "breaks", F.inline(pieces))
+        per_slice.select("provider", *spot, "longest", "runs", "breaks", F.inline(pieces))
         .withColumn("_run", F.sum("starts").over(chain)).groupBy("provider", "_run").agg(
             F.sum("len").alias("_len"), F.max(F.when(first, F.col("longest"))).alias("longest"),
             F.sum(F.when(first, F.col("runs"))).alias("runs"), F.sum(F.when(first, F.col("breaks"))).alias("breaks"),

@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 SMALL_ROWS = 10_000
 
 
-def join_small(big: DataFrame, small: DataFrame, on: str, how: str = "left", max_rows: int = SMALL_ROWS) -> DataFrame:
+def small_table(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame | None:
+    """``df`` as a local table when it has at most ``max_rows`` rows, else None. Fetches
+    ``max_rows + 1`` rows at most."""
+    rows = df.limit(max_rows + 1).collect()
+    return None if len(rows) > max_rows else df.sparkSession.createDataFrame(rows, df.schema)
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | list[str], how: str = "left", max_rows: int = SMALL_ROWS) -> DataFrame:
     """Broadcast ``small`` after checking that it has at most ``max_rows`` rows, else join by shuffle.
 
     Join keys such as a provider name have few values, each with a large share of the rows, so a
-    shuffle on them would be badly skewed. The check fetches ``max_rows + 1`` rows at most.
+    shuffle on them would be badly skewed.
     """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return big.join(small, on, how)
-    return big.join(F.broadcast(big.sparkSession.createDataFrame(rows, small.schema)), on, how)
+    local = small_table(small, max_rows)
+    return big.join(small if local is None else F.broadcast(local), on, how)
