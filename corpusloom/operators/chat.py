@@ -46,7 +46,7 @@ def to_chat_record(
     system = message("system", F.lit(book.system_prompt))
     user = message("user", user_message(book, seed_cols=("source_file_id",)))
     return joined.select(
-        "source_file_id", F.coalesce("repo_url", F.lit("")).alias("source_repo_url"),
+        "source_file_id", F.col("repo_url").alias("source_repo_url"),
         F.array(system, user, message("assistant", F.col("content"))).alias("messages"), "task_type",
         F.lit(None).cast("string").alias("source_language"), F.col("model").alias("model_used"),
         (F.lit(RECORD_LICENSE) if license_col is None else license_col).alias("license"),

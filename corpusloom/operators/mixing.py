@@ -56,8 +56,8 @@ def _facts(df: DataFrame, tags: list[str]) -> DataFrame:
             F.lit(stat), F.lit(None).cast("string") if key is None else key, F.lit(None) if value is None else value
         ).cast(_FACT)
 
-    per_record = [fact("messages", value=F.coalesce(F.size("messages"), F.lit(0)))] + [fact(t, F.col(t)) for t in tags]
     messages = F.coalesce("messages", F.array().cast("array<struct<role:string,content:string>>"))
+    per_record = [fact("messages", value=F.size(messages))] + [fact(t, F.col(t)) for t in tags]
     lengths = F.transform(messages, lambda m: fact("length", value=F.coalesce(F.length(m["content"]), F.lit(0))))
     roles = F.transform(messages, lambda m: fact("role", F.coalesce(m["role"], F.lit("unknown"))))
     facts = df.select(F.inline(F.concat(F.array(*per_record), lengths, roles)))
@@ -92,7 +92,8 @@ def mix_stats(df: DataFrame) -> DataFrame:
     none, key, n = F.lit(None).cast("string"), F.col("key"), F.col("n")
     facts = _facts(df.withColumn("source", F.coalesce("source", F.lit("unknown"))), ["source"])
     # one row per source, role and measure from here on
-    summary = _summaries(facts).withColumn("share", F.lit(100.0) * n / F.sum("n").over(Window.partitionBy("stat")))
+    total = F.sum("n").over(Window.partitionBy("stat"))
+    summary = _summaries(facts).withColumn("share", F.lit(100.0) * n / F.nullif(total, F.lit(0)))
     lines = (
         F.when(F.col("stat") == "messages", _lines(("total_records", none, n)))
         .when(F.col("stat") == "length", _lines(

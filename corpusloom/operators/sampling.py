@@ -126,6 +126,7 @@ def stratified_sample(df: DataFrame, n: int = 20, seed: int = SEED, scale_quotas
         narrow.withColumn("_stratum", F.explode(strata)).filter(F.col("_stratum").isNotNull())
         .withColumn("_r", F.row_number().over(Window.partitionBy("_stratum").orderBy("_h", "id"))).filter(F.col("_r") <= depth)
         .drop("_r", "_stratum").dropDuplicates(["id"])
+        .coalesce(1)  # a few hundred narrow rows, set by n and the quotas: saves the phases their shuffles
     )
 
     def rank(*groups):

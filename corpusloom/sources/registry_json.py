@@ -34,10 +34,11 @@ def parse_repo_items(df: DataFrame, json_col: str = "item", keep: list[str] | No
 
 def with_owner_repo(df: DataFrame, url: str = "github_url") -> DataFrame:
     """Lower-cased ``owner/repo`` of a link, trailing slashes removed, null for other hosts."""
-    bare = F.rtrim(F.coalesce(url, F.lit("")), F.lit("/"))
+    link = F.coalesce(url, F.lit(""))
+    bare = F.rtrim(link, F.lit("/"))
     at = F.instr(bare, HOST)
-    tail = F.substring(bare, at + len(HOST), F.length(bare))
-    return df.withColumn("github_owner_repo", F.when(at > 0, F.lower(tail)))
+    tail = F.when(at > 0, F.substring(bare, at + len(HOST), F.length(bare))).otherwise(bare)
+    return df.withColumn("github_owner_repo", F.when(link.contains(HOST), F.lower(tail)))
 
 
 def parse_package_items(df: DataFrame, json_col: str = "item", seq: str = "seq") -> DataFrame:

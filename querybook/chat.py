@@ -244,7 +244,7 @@ def _(spark, sf):
 
 
 @query("pair_to_chat",
-       """SELECT item_id, 0 AS pos, 'system' AS role, md5('You are a helpful programming assistant.') AS digest FROM benchmark
+       """SELECT item_id, CAST(0 AS BIGINT) AS pos, 'system' AS role, md5('You are a helpful programming assistant.') AS digest FROM benchmark
           UNION ALL SELECT item_id, 1, 'user', md5('Question ' || item_id) FROM benchmark
           UNION ALL SELECT item_id, 2, 'assistant', md5(text) FROM benchmark""")
 def _(spark, sf):

@@ -177,5 +177,11 @@ def test_stats_take_null_content_as_empty(spark):
     assert full[("length_median", None)] == 1.0 and full[("messages_median", None)] == 2.0
 
 
+def test_stats_of_nothing(spark):
+    nothing = chats(spark, [U, A]).withColumn("source", F.lit("x")).limit(0)
+    assert [(r["stat"], r["value"]) for r in mixing.mix_stats(nothing).collect()] == [("total_records", 0.0)]
+    assert [(r["stat"], r["value"]) for r in mixing.chat_stats(nothing).collect()] == [("total_entries", 0.0)]
+
+
 def test_declared_chat_columns():
     assert chat.CHAT_COLUMNS == schemas.CHAT_RECORD.fieldNames()

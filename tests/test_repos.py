@@ -63,6 +63,11 @@ def test_link_spelling(spark):
     assert got == {"slash": ("x", 1, "MIT"), "git": (None, None, None), "own": ("z", 3, "GPL-3.0")}
 
 
+def test_bare_host_matches_nothing(spark):
+    got = enrich(spark, [("a", "b", None)], [("x", 1, "MIT", "https://github.com/", 0)])
+    assert got == {"b": (None, None, None)}
+
+
 def test_chunks(spark):
     found = spark.createDataFrame([("a", "x", 0, 0), ("a", "y", 0, 1), ("a", "x", 1, 2), ("b", "z", 1, 3), ("b", "z", 2, 4)],
                                   "owner string, name string, chunk_seq long, item_seq long")
