@@ -54,6 +54,13 @@ def clean_report(df: DataFrame, tie: str = "request_id", min_ratio: float = filt
     )
 
 
+def generation_state(df: DataFrame, tasks: list[str]) -> DataFrame:
+    """``(id, status)`` per file of the log: ``done`` when every task was tried, ``partial`` before."""
+    tried = F.count_distinct(F.when(F.col("task_type").isin(tasks), F.col("task_type")))
+    status = F.when(tried == len(tasks), "done").otherwise("partial")
+    return df.groupBy(F.col("source_file_id").alias("id")).agg(status.alias("status"))
+
+
 def count_by_task(df: DataFrame) -> DataFrame:
     return df.groupBy("task_type").agg(F.count(F.lit(1)).alias("n"))
 

@@ -124,8 +124,8 @@ def files_x_tasks(df: DataFrame, tasks: list[str] | None = None) -> DataFrame:
     return df.withColumn("task_type", F.explode(F.array(*[F.lit(t) for t in (tasks or TASK_TYPES)])))
 
 
-def build_prompts(files: DataFrame, book: PromptBook, tasks: list[str] | None = None) -> DataFrame:
-    """One prompt per file and task."""
+def build_prompts(files: DataFrame, book: PromptBook, tasks: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
+    """One prompt per file and task; ``keep`` passes columns of the file through."""
     unknown = set(tasks or TASK_TYPES) - set(book.single)
     if unknown:
         raise ValueError(f"Unknown task type: {sorted(unknown)}")
@@ -135,7 +135,7 @@ def build_prompts(files: DataFrame, book: PromptBook, tasks: list[str] | None =
     system = message("system", F.lit(book.system_prompt))
     return files_x_tasks(files, tasks).select(
         F.array(system, message("user", user_message(book))).alias("messages"), "task_type", F.lit("single").alias("approach"),
-        F.col("id").alias("source_file_id"), budgets.alias("max_tokens"),
+        F.col("id").alias("source_file_id"), budgets.alias("max_tokens"), *(keep or []),
     )
 
 

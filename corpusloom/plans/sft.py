@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.functions.keys import pick
 from corpusloom.operators import chat, filters, genlog, mixing, prompts, ranking, registry, respond, sampling
 from corpusloom.sources.jsonl import append_records
 from corpusloom.sources.parquet import raw_snapshot
@@ -21,26 +22,33 @@ def load_files(corpus: DataFrame, max_files: int, seed: int = sampling.SEED, exc
     return sampling.shuffle_rows(sampling.sample_n(files, max_files, seed), seed + 1)
 
 
-def generate_batch(files: DataFrame, state: DataFrame, book: prompts.PromptBook, factory: Callable[[], respond.Responder],
-                   provider: str, model: str, log_path: str, tasks: list[str] | None = None,
-                   done_statuses: list[str] | None = None, force: bool = False, **options) -> None:
-    """Answer the files the state does not list and append the log. ``state``: ``id``, ``status``."""
-    todo = registry.resume_remaining(files, state, ["id"], done_statuses, force)
-    built = prompts.build_prompts(todo, book, tasks).withColumn(
-        "request_id", F.concat_ws("_", F.lit(provider), F.md5(F.concat_ws("|", "source_file_id", "task_type")))
-    )
-    answered = respond.batch_respond(
-        built, factory, ["request_id", "source_file_id", "task_type", "approach"], max_tokens_col="max_tokens", **options
-    )
-    described = todo.select(
-        F.col("id").alias("source_file_id"), F.col("file_path").alias("source_file_path"),
-        F.col("repo_name").alias("source_repo"), F.col("stars").alias("source_stars"),
-    )
-    stamped = answered.join(described, "source_file_id").withColumns({
-        "provider": F.lit(provider), "model": F.lit(model),
-        "timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+def generate(files: DataFrame, state: DataFrame, book: prompts.PromptBook, factory: Callable[[], respond.Responder],
+             provider: str, model: str, log_path: str, tasks: list[str] | None = None,
+             done_statuses: list[str] | None = None, force: bool = False, batches: int = 1, **options) -> None:
+    """Answer the files the state does not list and append the log. ``state``: ``id``, ``status``.
+
+    Each of the ``batches`` (files split by hash) is committed on its own; after a crash, build the
+    state with ``genlog.generation_state`` and run again. The file columns travel with the prompts:
+    no shuffle follows the responder, so a lost executor cannot cause answered batches to be asked
+    again.
+    """
+    todo = registry.resume_remaining(files, state, ["id"], done_statuses, force).withColumns({
+        "source_file_path": F.col("file_path"), "source_repo": F.col("repo_name"), "source_stars": F.col("stars"),
     })
-    append_records(stamped, log_path)
+    described = ["source_file_path", "source_repo", "source_stars"]
+    for batch in range(batches):
+        part = todo.filter(pick(book.seed, batches, "id") == batch) if batches > 1 else todo
+        built = prompts.build_prompts(part, book, tasks, described).withColumn(
+            "request_id", F.concat_ws("_", F.lit(provider), F.md5(F.concat_ws("|", "source_file_id", "task_type")))
+        )
+        answered = respond.batch_respond(
+            built, factory, ["request_id", "source_file_id", "task_type", "approach", *described],
+            max_tokens_col="max_tokens", **options
+        )
+        append_records(answered.withColumns({
+            "provider": F.lit(provider), "model": F.lit(model),
+            "timestamp": F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+        }), log_path)
 
 
 def chat_records(log: DataFrame, corpus: DataFrame, book: prompts.PromptBook, training_path: str, tie: str = "request_id",

@@ -19,6 +19,9 @@ def build_session(app: str = "corpusloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # streaming state may hold one row per file: keep it off the heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # rows with whole source files: keep Python batches small
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
         "spark.ui.enabled": "false",

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from corpusloom import schemas
 from corpusloom.functions.keys import content_key
 from corpusloom.operators.corpus import Rule, apply_rules, corpus_rules, with_license
+from corpusloom.operators.dedup import latest_per_key
 from corpusloom.operators.genlog import LOG_KEYS, succeeded
 
 
@@ -34,8 +35,11 @@ def stream_filter_corpus(files: DataFrame, rules: list[Rule] | None = None, **bo
 
 def stream_latest(log: DataFrame, keys: list[str] | None = None, timestamp: str = "timestamp",
                   tie: str = "request_id", columns: list[str] | None = None) -> DataFrame:
-    """Compaction of a growing log. The state holds one row per key, no watermark is needed; run in
-    ``update`` or ``complete`` mode."""
+    """Compaction of a growing log. The state holds one row per key, no watermark is needed.
+
+    Run it in ``update`` mode with ``delta_sink``: a batch then writes the keys it changed, not the
+    whole result. ``columns`` keeps the state small.
+    """
     keys = keys or LOG_KEYS
     rest = [c for c in (columns or log.columns) if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(timestamp, tie))
@@ -88,8 +92,25 @@ def run_each_batch(stream: DataFrame, sink: Callable[[DataFrame, int], None], ch
     return query
 
 
+def delta_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Sink for ``update`` mode: changed rows in one folder per batch. A repeated batch replaces its
+    own folder, so nothing is written twice."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+    return write
+
+
+def read_latest(spark: SparkSession, path: str, keys: list[str] | None = None, timestamp: str = "timestamp",
+                tie: str = "request_id") -> DataFrame:
+    """Current rows from what ``delta_sink`` wrote."""
+    deltas = spark.read.option("basePath", path).parquet(path).drop("batch")
+    return latest_per_key(deltas, keys or LOG_KEYS, timestamp, tie)
+
+
 def overwrite_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Sink for ``complete`` mode: every batch replaces the result."""
+    """Sink for small results in ``complete`` mode: every batch replaces the result."""
 
     def write(batch: DataFrame, _: int) -> None:
         batch.write.mode("overwrite").parquet(path)

@@ -62,8 +62,10 @@ def _log(spark, sf):
        sql("""SELECT source_file_id, task_type, request_id, error FROM (SELECT *, row_number() OVER (
                 PARTITION BY source_file_id, task_type ORDER BY ts DESC, request_id DESC) AS rn FROM lg) WHERE rn = 1""", lg=_LOG))
 def _(spark, sf):
-    newest = streams.stream_latest(_log(spark, sf)).select("source_file_id", "task_type", "request_id", "error")
-    return _finish(spark, newest, "latest", "complete")
+    newest = streams.stream_latest(_log(spark, sf), columns=["request_id", "timestamp", "error"])
+    out = scratch_path(spark, "latest")
+    streams.run_each_batch(newest, streams.delta_sink(out), scratch_path(spark, "latest-state"))
+    return streams.read_latest(spark, out).select("source_file_id", "task_type", "request_id", "error")
 
 
 @query("stream_dedup", "SELECT DISTINCT sha256(text) AS content_sha FROM documents")

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
-from corpusloom.operators import prompts
+from corpusloom.operators import genlog, prompts
 from corpusloom.operators.respond import batch_respond
 from corpusloom.plans import collect, convert, sft
 from corpusloom.sources import jsonl, parquet, trees
@@ -114,8 +114,13 @@ def test_sft_end_to_end(spark, tmp_path):
     log_path = str(tmp_path / "log")
     state = spark.createDataFrame([(sorted(ids)[0], "done")], "id string, status string")
     options = dict(max_retries=1, base_delay=0.0)
-    sft.generate_batch(files, state, book, echo, "p", "m", log_path, **options)
+    sft.generate(files, state, book, echo, "p", "m", log_path, batches=3, **options)
     log = jsonl.read_jsonl(spark, log_path, schemas.GENERATION_LOG)
+    assert genlog.generation_state(log, prompts.TASK_TYPES).filter("status = 'done'").count() == 14
+    assert sorted(r[0] for r in log.select("source_stars").distinct().collect() if r[0] is not None)
+    again = genlog.generation_state(log, prompts.TASK_TYPES).unionByName(state)
+    sft.generate(files, again, book, echo, "p", "m", log_path, **options)
+    assert jsonl.read_jsonl(spark, log_path, schemas.GENERATION_LOG).count() == log.count()
     assert log.count() == 42
     failed = log.filter("error IS NOT NULL").count()
     assert failed == (3 if "o/n/3" in ids and sorted(ids)[0] != "o/n/3" else 0)
@@ -167,6 +172,20 @@ def test_stream_resumes_with_new_files_only(spark, tmp_path):
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 3]
 
 
+def test_stream_latest_across_batches(spark, tmp_path):
+    source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    columns = "source_file_id string, task_type string, timestamp string, request_id string, content string"
+    schema = spark.createDataFrame([], columns).schema
+    batch = lambda *rows: jsonl.append_records(spark.createDataFrame(rows, columns), source)
+    run = lambda: streams.run_each_batch(streams.stream_latest(streams.read_stream(spark, source, schema)), streams.delta_sink(out), state)
+    batch(("f", "t", "2024-01-02", "r2", "x"), ("g", "t", "2024-01-01", "r1", "y"))
+    run()
+    batch(("f", "t", "2024-01-01", "r0", "late"), ("g", "t", "2024-01-03", "r3", "new"))
+    run()
+    now = {r["source_file_id"]: r["content"] for r in streams.read_latest(spark, out).collect()}
+    assert now == {"f": "x", "g": "new"}
+
+
 def test_stream_dedup_across_batches(spark, tmp_path):
     source, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
     schema = spark.createDataFrame([], "id long, code string, seen_at timestamp").schema
