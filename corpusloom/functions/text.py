@@ -60,8 +60,12 @@ def source_class(path: Column | str) -> Column:
 
 def unique_line_ratio(col: Column | str) -> Column:
     """Distinct lines over lines of the stripped text; whitespace-only text gives 1.0."""
-    parts = lines(strip(col))
-    return F.size(F.array_distinct(parts)).cast("double") / F.size(parts).cast("double")
+    c = _c(col)
+    # the lambda binds the lines once; spelled out, the text would be split twice
+    ratio = F.transform(
+        F.array(lines(strip(c))), lambda p: F.size(F.array_distinct(p)).cast("double") / F.size(p).cast("double")
+    )[0]
+    return F.when(c.isNotNull(), ratio)
 
 
 def partial_code(col: Column | str, hint: str = COMPLETION_HINT) -> Column:

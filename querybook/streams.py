@@ -49,11 +49,16 @@ _LOG = """SELECT event_id AS request_id, 'prov_' || (user_id % 2) AS provider, '
   (event_id * 17) % 4096 AS output_tokens FROM events"""
 
 
+# the table's timestamps carry no zone; this reads them as UTC whatever the session's zone is
+_UTC = """timestamp_micros((date_diff(CAST(ts AS DATE), DATE'1970-01-01') * 86400L + hour(ts) * 3600 + minute(ts) * 60) * 1000000
+  + CAST(extract(SECOND FROM ts) * 1000000 AS BIGINT))"""
+
+
 def _log(spark, sf):
     return _stream(spark, sf, "events").selectExpr(
         "event_id AS request_id", "concat('prov_', user_id % 2) AS provider", "concat('file/', user_id) AS source_file_id",
         "CASE event_id % 3 WHEN 0 THEN 'code_gen' WHEN 1 THEN 'explanation' ELSE 'completion' END AS task_type",
-        "CAST(ts AS TIMESTAMP) AS timestamp", "CASE WHEN event_type = 'error' THEN 'timeout' END AS error",
+        f"{_UTC} AS timestamp", "CASE WHEN event_type = 'error' THEN 'timeout' END AS error",
         "event_id % 2500 AS input_tokens", "(event_id * 17) % 4096 AS output_tokens",
     )
 
