@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpusloom.llm import bpe, packing
+from corpusloom.llm import bpe, hmm, langid, packing, quality
 from corpusloom.llm.common import table
 from querybook.registry import query
 
@@ -18,3 +18,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op1_langid")
+def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_hmm")
+def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.language_model_scores(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
