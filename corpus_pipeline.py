@@ -5,12 +5,38 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm import packing
+from corpusloom.llm import jaccard, langid, packing, quality
 from corpusloom.llm.common import store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Documents whose language is less certain than this are rejected. Ordinary text scores above 0.9, one or two
+#: words about 0.4.
+LEAST_LANGUAGE_SCORE = 0.2
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents with a recognised language; a missing ``lang`` takes the predicted one."""
+    model = langid.fit(docs)
+    found = langid.predict(docs, model, docs.columns)
+    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
+
+
+def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose perplexity lies within what trusted documents of their language show."""
+    trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
+    scored = store(quality.score(docs, quality.fit(docs, trusted), docs.columns), "scored-documents")
+    _, kept = quality.accepted(quality.cuts(scored, trusted))
+    return scored.where(kept).select(docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, the one with the smallest id."""
+    return jaccard.keep_one(docs, store(jaccard.similarity_groups(docs), "groups"))
+
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every kept document's token pieces placed in sequences of at most 1024 tokens."""
@@ -18,10 +44,13 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language ID", identify_language),
+    ("quality classifier", filter_quality),
+    ("n-gram Jaccard join", drop_near_duplicates),
     ("best-fit packing", pack_sequences),
 ]
 
-# Hash and vector models inside the stages cannot be written in SQL; tests hold the stages to brute force.
+# Trained models and MinHash values cannot be written in SQL; tests hold the stages to brute force.
 ORACLE_SQL: str | None = None
 
 

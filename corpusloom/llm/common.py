@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +33,15 @@ def store(df: DataFrame, label: str) -> DataFrame:
 def id_bucket(key: Column, n: int) -> Column:
     """``crc32(key as text) mod n``; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % F.lit(n)
+
+
+def with_position(df: DataFrame) -> DataFrame:
+    """Rows with ``_file`` and ``_row``: where each stands in its Parquet file, the same on every read.
+
+    Rows that do not come from files are stored first.
+    """
+    position = {"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}
+    try:
+        return df.withColumns(position)
+    except AnalysisException:
+        return store(df, "rows").withColumns(position)

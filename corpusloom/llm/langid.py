@@ -217,12 +217,13 @@ def predict(
     spark = ready(docs)
     keep = [c for c in keep if c not in ("lang_pred", "score")]
     schema = StructType([*[docs.schema[c] for c in keep], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    text_at = keep.index(text_col) if text_col in keep else len(keep)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hierarchy = shared.value
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(text_at).to_pylist()
             langs, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
             rows, vectors = [], []
 
@@ -246,7 +247,8 @@ def predict(
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(len(keep))], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], schema.fieldNames())
 
-    return docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    sent = [F.col(f"`{c}`") for c in keep] + ([] if text_col in keep else [F.col(text_col)])
+    return docs.select(*sent).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

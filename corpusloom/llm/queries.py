@@ -3,33 +3,60 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, hmm, langid, packing, quality
+from corpusloom.llm import bpe, forest, hmm, htmltext, jaccard, langid, packing, quality, topk, warc
 from corpusloom.llm.common import table
 from querybook.registry import query
 
 
-@query("op9_bpe")
-def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(table(spark, sf_dir, "documents"))
-
-
-@query("op10_packing")
-def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents")).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
-
-
 @query("op1_langid")
 def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+@query("op2_forest")
+def op2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op3_hmm")
 def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.language_model_scores(table(spark, sf_dir, "documents"))
 
 
+@query("op4_jaccard")
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_groups(table(spark, sf_dir, "documents"))
+
+
 @query("op5_quality")
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_htmltext")
+def op6_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_texts(table(spark, sf_dir, "pages"))
+
+
+@query("op7_topk")
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op8_warc")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_bpe")
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
