@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, forest, hmm, htmltext, jaccard, langid, packing, quality, topk, warc
+from corpusloom.llm import bpe, forest, hmm, htmltext, jaccard, langid, oracles, packing, quality, topk, warc
 from corpusloom.llm.common import table
 from querybook.registry import query
 
@@ -15,7 +15,7 @@ def op1_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-@query("op2_forest")
+@query("op2_forest", oracles.NEAR_VECTORS)
 def op2_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -25,7 +25,7 @@ def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.language_model_scores(table(spark, sf_dir, "documents"))
 
 
-@query("op4_jaccard")
+@query("op4_jaccard", oracles.NEAR_TEXTS)
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_groups(table(spark, sf_dir, "documents"))
 
@@ -40,12 +40,12 @@ def op6_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.main_texts(table(spark, sf_dir, "pages"))
 
 
-@query("op7_topk")
+@query("op7_topk", oracles.TOP_K)
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
-@query("op8_warc")
+@query("op8_warc", oracles.ARCHIVES)
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
