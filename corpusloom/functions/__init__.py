@@ -1 +1,2 @@
-"""Column builders: everything here stays inside whole-stage code generation."""
+"""Column builders from built-in functions. Those over arrays (``transform``, ``exists``, ``filter``) are evaluated
+outside whole-stage code generation, the others inside it."""

@@ -9,7 +9,7 @@ from corpusloom.functions import text
 from corpusloom.functions.keys import digest
 from corpusloom.functions.licenses import normalize_license
 from corpusloom.operators import filters
-from corpusloom.operators.dedup import dedup_content
+from corpusloom.operators.dedup import dedup_content, first_per_key
 
 Rule = tuple[str, Column]
 
@@ -42,9 +42,11 @@ def apply_rules(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df
 
 
-def filter_corpus(df: DataFrame, rules: list[Rule] | None = None, deduplicate: bool = True, **bounds) -> DataFrame:
+def filter_corpus(df: DataFrame, rules: list[Rule] | None = None, deduplicate: bool = True, duplicates_only: bool = False,
+                  **bounds) -> DataFrame:
+    """The funnel. ``duplicates_only`` is the plan of ``dedup_content`` for long, mostly distinct texts."""
     kept = apply_rules(df, corpus_rules(**bounds) if rules is None else rules)
-    return dedup_content(kept) if deduplicate else kept
+    return dedup_content(kept, duplicates_only=duplicates_only) if deduplicate else kept
 
 
 def first_failed(rules: list[Rule]) -> Column:
@@ -100,6 +102,20 @@ def corpus_summary(df: DataFrame, approximate: bool = False) -> DataFrame:
     ).select("files", "repos", (F.col("newlines") + F.col("files")).alias("lines"), "chars")
 
 
+def deduplicated_summary(df: DataFrame, stars: str = "stars", id_col: str = "id") -> DataFrame:
+    """``corpus_summary`` of the rows that ``dedup_content`` keeps, without shuffling a text: lines and
+    characters are counted first, then one narrow row per content is chosen."""
+    narrow = df.select(
+        F.coalesce(digest("code"), F.lit(b"")).alias("_digest"), F.col(stars).alias("_stars"), F.col(id_col).alias("_id"), "repo_url",
+        text.newline_count("code").alias("_newlines"), F.length("code").alias("_chars"))
+    kept = first_per_key(narrow, ["_digest"], [F.desc_nulls_last("_stars"), F.asc_nulls_last("_id")])
+    null_repo = F.coalesce(F.max(F.when(F.col("repo_url").isNull(), 1)), F.lit(0))
+    return kept.agg(
+        F.count(F.lit(1)).alias("files"), (F.count_distinct("repo_url") + null_repo).alias("repos"),
+        (F.coalesce(F.sum("_newlines"), F.lit(0)) + F.count(F.lit(1))).alias("lines"), F.coalesce(F.sum("_chars"), F.lit(0)).alias("chars"),
+    )
+
+
 def license_distribution(df: DataFrame) -> DataFrame:
     return (
         df.filter(F.col("license").isNotNull()).groupBy("license").agg(F.count(F.lit(1)).alias("files"))

@@ -21,9 +21,11 @@ def dedup_content(df: DataFrame, code: str = "code", stars: str = "stars", id_co
                   duplicates_only: bool = False) -> DataFrame:
     """One row per identical content, the most-starred one (ties: smallest id; null stars last).
 
-    ``duplicates_only=True`` first finds the repeated digests with a narrow aggregation, so rows
-    with unique content skip the shuffle of full texts altogether. It reads the input three times
-    and pays off when texts are long and mostly distinct; the result is the same.
+    ``duplicates_only=True`` first finds the repeated digests with a narrow aggregation. Where Spark
+    broadcasts them (few repeated contents), rows with unique content skip the shuffle of full texts;
+    otherwise the joins shuffle texts too, and the default plan is the better one. The input is read
+    three times; the result is the same. Where only numbers are wanted, as in
+    ``corpus.deduplicated_summary``, no text needs to move at all.
     """
     order = [F.desc_nulls_last(stars), F.asc_nulls_last(id_col)]
     keyed = df.withColumn("_digest", F.coalesce(digest(code), F.lit(b"")))

@@ -9,7 +9,7 @@ from corpusloom import schemas
 from corpusloom.functions import text, usage
 from corpusloom.operators import filters
 from corpusloom.operators.dedup import latest_per_key
-from corpusloom.operators.joins import join_small, small_table
+from corpusloom.operators.joins import join_small
 from corpusloom.operators.quantiles import median, with_positions
 
 LOG_KEYS = ["source_file_id", "task_type"]
@@ -33,15 +33,21 @@ def clean_log(df: DataFrame, tie: str = "request_id", prefer_success: bool = Fal
 def clean_report(df: DataFrame, tie: str = "request_id", min_ratio: float = filters.MIN_UNIQUE_LINE_RATIO) -> DataFrame:
     """What cleaning keeps and drops, from one pass over the log.
 
-    ``max_by`` combines on the map side, so a key with very many attempts sends one row per task.
+    Every attempt is reduced to its reason, length and loop flag before the keys are grouped, so no text is
+    sorted or shuffled; ``max_by`` combines on the map side.
     """
-    newest = df.groupBy(*LOG_KEYS).agg(
+    complete = (F.col("finish_reason") == "stop") & (F.length("content") > 0)
+    narrow = df.select(
+        *LOG_KEYS, "timestamp", F.col(tie).alias("_tie"), "finish_reason", F.length("content").alias("length"),
+        F.when(complete, text.unique_line_ratio("content") < F.lit(min_ratio)).alias("loops"),
+    )
+    newest = narrow.groupBy(*LOG_KEYS).agg(
         F.count(F.lit(1)).alias("n"),
-        F.max_by(F.struct("finish_reason", "content"), F.struct("timestamp", tie)).alias("r"),
+        F.max_by(F.struct("finish_reason", "length", "loops"), F.struct("timestamp", "_tie")).alias("r"),
     ).select("n", "r.*")
-    reason, length = F.col("finish_reason"), F.length("content")
+    reason, length = F.col("finish_reason"), F.col("length")
     answered = (reason == "stop") & (length > 0)
-    loops = answered & (text.unique_line_ratio("content") < F.lit(min_ratio))
+    loops = answered & F.col("loops")
     return newest.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("raw"),
         F.count(F.lit(1)).alias("after_dedupe"),
@@ -168,34 +174,17 @@ def budget_cutoff(df: DataFrame, limit: float, balance: str = "balance", seq: st
 def error_streaks(df: DataFrame, seq: str = "request_seq", breaker: int = BREAKER_AT, slices: int | None = None) -> DataFrame:
     """Per provider: longest run of consecutive errors, number of runs, and runs of ``breaker`` or more.
 
-    A window over a whole provider would put it into one task. The log is cut into slices with about
-    equal row counts; each slice finds its own runs, and the runs that touch a slice border are
-    stitched from one summary row per slice. Slices follow the timestamp, and the sequence number
-    inside a timestamp that fills more than one slice.
+    A window over a whole provider would put it into one task. The log's narrow rows are range-partitioned
+    by provider, time and sequence number; each range finds its own runs, and the runs that touch a border
+    are stitched from one summary row per range. ``slices`` sets the number of ranges; by default the
+    session's shuffle settings do, so that ranges stay of one size however long the log is.
     """
-    if slices is None:
-        slices = min(512, max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    steps = [i / slices for i in range(1, slices)]
+    order = ["provider", "_ts", "_seq"]
     log = df.select("provider", F.unix_micros(F.col("timestamp").cast("timestamp")).alias("_ts"), F.col(seq).alias("_seq"),
                     (~succeeded()).alias("_err"))
-    cuts = log.groupBy("provider").agg(F.percentile_approx("_ts", steps, 10 * slices).alias("_cuts"))
-    local = small_table(cuts)
-    cuts = cuts if local is None else F.broadcast(local)
-    sliced = log.join(cuts, "provider").select(
-        "provider", "_ts", "_seq", "_err", F.size(F.filter("_cuts", lambda c: c < F.col("_ts"))).alias("_slice"),
-        (F.size(F.filter("_cuts", lambda c: c == F.col("_ts"))) > 1).alias("_full"),
-    )
-    crowded = cuts.select("provider", F.explode("_cuts").alias("_ts")).groupBy("provider", "_ts").count().filter("count > 1")
-    if local is None or not crowded.isEmpty():
-        inner_cuts = sliced.filter("_full").groupBy("provider", "_ts").agg(
-            F.percentile_approx("_seq", steps, 10 * slices).alias("_seq_cuts")
-        )
-        sliced = join_small(sliced, inner_cuts, ["provider", "_ts"]).withColumn(
-            "_part", F.coalesce(F.size(F.filter("_seq_cuts", lambda c: c < F.col("_seq"))), F.lit(0))
-        )
-    else:
-        sliced = sliced.withColumn("_part", F.lit(0))
-    spot = ["_slice", "_part"]
+    ranged = log.repartitionByRange(slices, *order) if slices else log.repartitionByRange(*order)
+    sliced = ranged.withColumn("_slice", F.spark_partition_id())
+    spot = ["_slice"]
     whole = Window.partitionBy("provider", *spot)
     inside = whole.orderBy("_ts", "_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     fine = F.count_if(~F.col("_err"))

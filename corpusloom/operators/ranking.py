@@ -20,7 +20,7 @@ def global_row_number(df: DataFrame, order: list[str | Column], alias: str = "ro
     equal keys do not all land in one range.
     """
     shared_dir(df.sparkSession)
-    keys = [*order, F.xxhash64(*df.columns)]
+    keys = [*order, F.md5(F.to_json(F.struct(*df.columns)))]
     by_range = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
     placed = by_range.sortWithinPartitions(*keys).checkpoint()
     numbered = placed.withColumn("_mid", F.monotonically_increasing_id())
@@ -37,7 +37,15 @@ def global_row_number(df: DataFrame, order: list[str | Column], alias: str = "ro
     return joined.withColumn(alias, F.col("_offset") + within + F.lit(1)).select(*df.columns, alias)
 
 
-def dense_ids(df: DataFrame, order: list[str | Column], prefix: str = "sft", width: int = 5, alias: str = "id") -> DataFrame:
-    """Ids such as ``sft_00001`` in ``order``; numbers wider than ``width`` keep all their digits."""
-    numbered = global_row_number(df, order, "_n")
+def dense_ids(df: DataFrame, order: list[str | Column], prefix: str = "sft", width: int = 5, alias: str = "id",
+              keys: list[str] | None = None) -> DataFrame:
+    """Ids such as ``sft_00001`` in ``order``; numbers wider than ``width`` keep all their digits.
+
+    ``keys`` names columns that identify a row and that ``order`` is made of: then only they are sorted and
+    stored, and the numbers are joined back to the rows. ``df`` is read twice.
+    """
+    if keys:
+        numbered = df.join(global_row_number(df.select(*keys), order, "_n"), keys)
+    else:
+        numbered = global_row_number(df, order, "_n")
     return numbered.withColumn(alias, F.format_string(f"{prefix}_%0{width}d", "_n")).drop("_n")

@@ -6,11 +6,13 @@ import random
 import time
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 from corpusloom import schemas
+from corpusloom.packaging import ship
 
 # Attempts after the first one and the delay before the first of them.
 MAX_RETRIES = 3
@@ -58,19 +60,21 @@ def batch_respond(
         source = source.repartition(partitions)
     out = StructType([*[source.schema[k] for k in keys], *[StructField(f, schemas.RESPONSE[f].dataType) for f in fields]])
 
-    def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    arrow = to_arrow_schema(StructType([schemas.RESPONSE[f] for f in fields]))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         responder = factory()
         for batch in batches:
-            rows = []
-            for row in batch.to_dict("records"):
-                messages = [dict(m) for m in row["messages"]]
-                budget = int(row[max_tokens_col]) if max_tokens_col else None
-                result = respond_with_retry(responder, messages, budget, max_retries, base_delay)
-                rows.append({**{k: row[k] for k in keys}, **{f: result.get(f) for f in fields}})
-            if rows:
-                frame = pd.DataFrame(rows, columns=[*keys, *fields])
-                for f in ("wall_time_ms", "input_tokens", "output_tokens"):
-                    frame[f] = frame[f].astype("Int64")
-                yield frame
+            if not batch.num_rows:
+                continue
+            results = []
+            for row in batch.select(["messages", *([max_tokens_col] if max_tokens_col else [])]).to_pylist():
+                budget = None if not max_tokens_col or row[max_tokens_col] is None else int(row[max_tokens_col])
+                messages = [dict(m) for m in row["messages"] or []]
+                results.append(respond_with_retry(responder, messages, budget, max_retries, base_delay))
+            columns = [pa.array([r.get(f) for r in results], arrow.field(f).type) for f in fields]
+            # keys stay the Arrow columns they came in: no integer passes through a float
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keys], *columns], [*keys, *fields])
 
-    return source.mapInPandas(answer, out)
+    ship(prompts.sparkSession)
+    return source.mapInArrow(answer, out)

@@ -16,11 +16,17 @@ from corpusloom.functions.keys import hash_number, seeded_hash, tier
 SEED = 42  # fixed value
 EVAL_FRACTION = 0.05  # fixed value
 
+# Sizes of the judged and the hand-checked sample, lowest accepted score, subtype shares.
+JUDGED, SPOT_CHECKED, LEAST_SCORE = 500, 100, 3
+EXPLANATION_SHARES = {"what it does": 30, "concepts": 20, "expression": 20, "signature": 15, "difference": 15}
+TRANSLATION_SHARES = {"typescript": 40, "javascript": 20, "elixir": 20, "elm": 20}
+
 # Quotas of the stratified sample.
 QUOTA_OFFICIAL = 4
 QUOTA_COMPLEXITY = {"simple": 7, "medium": 7, "complex": 6}
 QUOTA_SOURCE = {"src": 10, "test": 6, "examples": 4}
 
+BROADCAST_ROWS = 100_000
 _BUCKET_DIGITS = 5  # 16**5 = 1,048,576 hash buckets
 
 
@@ -29,17 +35,15 @@ def shuffle_rows(df: DataFrame, seed: int = SEED, id_col: str = "id") -> DataFra
     return df.orderBy(seeded_hash(seed, id_col), id_col)
 
 
-def _first_in_hash_order(df: DataFrame, seed: int, id_col: str, n: int | None = None, fraction: float | None = None) -> Column:
-    """Predicate: the row is among the first ``n`` rows (or the first ``ceil(fraction * rows)``).
+def _cut(df: DataFrame, hashed: Column, id_col: str, n: int | None = None, fraction: float | None = None) -> tuple[Column, Column]:
+    """Where the first ``n`` rows (or the first ``ceil(fraction * rows)``) by ``(hashed, id)`` end: the last
+    pair, and how many of its rows are still in.
 
     A top-n would send n rows of every task to one place. Instead the cut is located on the id
     column alone: a histogram over about a million hash buckets names the bucket it falls in, and
     the ids of that bucket are counted in order. Choosing the rows is then a comparison with one
-    value, in a scan without a shuffle. Ids should be unique: rows with the same id go together.
+    value, in a scan without a shuffle. Both results are null when fewer rows exist.
     """
-    if n == 0 or fraction == 0:
-        return F.lit(False)
-    hashed = seeded_hash(seed, id_col)
     ids = df.select(F.col(id_col).alias("_id"), hashed.alias("_h")).withColumn("_b", hash_number(F.col("_h"), _BUCKET_DIGITS))
     sizes = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     if n is None:
@@ -53,18 +57,31 @@ def _first_in_hash_order(df: DataFrame, seed: int, id_col: str, n: int | None =
         F.first(F.struct(F.col("_b").alias("b"), (F.col("_want") - F.col("_until") + F.col("_n")).alias("m")))
     ).scalar()
     in_order = Window.orderBy("_h", "_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    last = (
+    found = (
         ids.filter(F.col("_b") == cut["b"]).groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("_n"))
-        .select("_h", "_id", F.sum("_n").over(in_order).alias("_until")).filter(F.col("_until") >= cut["m"])
-        .agg(F.min(F.struct("_h", "_id"))).scalar()
-    )
+        .select("_h", "_id", "_n", F.sum("_n").over(in_order).alias("_until")).filter(F.col("_until") >= cut["m"])
+        .agg(F.min(F.struct("_h", "_id", (cut["m"] - F.col("_until") + F.col("_n")).alias("_in"))).alias("_c"))
+    ).select("_c").scalar()
+    return F.struct(found["_h"].alias("_h"), found["_id"].alias("_id")), found["_in"]
+
+
+def _marked(df: DataFrame, hashed: Column, id_col: str, n: int | None = None, fraction: float | None = None) -> DataFrame:
+    """``df`` with ``_in``: exactly the first ``n`` rows. Only the rows that share the last id are ranked."""
+    if n == 0 or fraction == 0:
+        return df.withColumn("_in", F.lit(False))
+    last, still = _cut(df, hashed, id_col, n, fraction)
+    place = F.struct(hashed.alias("_h"), F.col(id_col).alias("_id"))
     # no cut: fewer rows than asked for, so all of them are in
-    return F.coalesce(F.struct(hashed.alias("_h"), F.col(id_col).alias("_id")) <= last, F.lit(True))
+    sided = df.withColumn("_side", F.when(last["_h"].isNull() | (place < last), 1).when(place == last, 0).otherwise(-1))
+    clear = sided.filter("_side <> 0").withColumn("_in", F.col("_side") == 1)
+    same = Window.partitionBy("_side").orderBy(F.xxhash64(*df.columns))
+    edge = sided.filter("_side = 0").withColumn("_in", F.row_number().over(same) <= still)
+    return clear.unionByName(edge).drop("_side")
 
 
 def sample_n(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id") -> DataFrame:
-    """Exactly n rows, or all rows when there are fewer."""
-    return df.filter(_first_in_hash_order(df, seed, id_col, n=n))
+    """Exactly n rows, or all rows when there are fewer. Rows with one id are told apart by their content."""
+    return _marked(df, seeded_hash(seed, id_col), id_col, n=n).filter("_in").drop("_in")
 
 
 def shuffle_take(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id") -> DataFrame:
@@ -75,12 +92,61 @@ def shuffle_take(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id") ->
 def train_eval_split(df: DataFrame, fraction: float = EVAL_FRACTION, seed: int = SEED, id_col: str = "id",
                      exact: bool = False) -> DataFrame:
     """Add ``split`` (``train``/``eval``). By default each row is decided by its own hash; ``exact``
-    puts ``ceil(fraction * rows)`` rows into eval. Neither way shuffles the rows."""
+    puts ``ceil(fraction * rows)`` rows into eval, told apart by content where they share an id."""
     if exact:
-        inside = _first_in_hash_order(df, seed, id_col, fraction=fraction)
+        marked = _marked(df, seeded_hash(seed, id_col), id_col, fraction=fraction)
     else:
-        inside = hash_number(seeded_hash(seed, id_col)) < F.lit(math.floor(fraction * 2**32))
-    return df.withColumn("split", F.when(inside, "eval").otherwise("train"))
+        marked = df.withColumn("_in", hash_number(seeded_hash(seed, id_col)) < F.lit(math.floor(fraction * 2**32)))
+    return marked.withColumn("split", F.when(F.col("_in"), "eval").otherwise("train")).drop("_in")
+
+
+def judge_sample(df: DataFrame, n: int = JUDGED, seed: int = SEED, id_col: str = "id") -> DataFrame:
+    """Rows for a judge to score."""
+    return sample_n(df, n, seed, id_col)
+
+
+def spot_check_sample(df: DataFrame, n: int = SPOT_CHECKED, seed: int = SEED, id_col: str = "id") -> DataFrame:
+    """Rows for people to look at."""
+    return sample_n(df, n, seed, id_col)
+
+
+def judge_reject(df: DataFrame, scores: DataFrame, dimensions: list[str], least: float = LEAST_SCORE, id_col: str = "id") -> DataFrame:
+    """Rows without a score below ``least`` in any dimension; rows that were not judged, and missing
+    scores, reject nothing. A row judged more than once takes its lowest scores."""
+    worst = scores.groupBy(F.col(id_col).alias("_id")).agg(*[F.min(d).alias(f"_{d}") for d in dimensions])
+    low = F.least(*[F.coalesce(f"_{d}", F.lit(least)) for d in dimensions] + [F.lit(least)]) < F.lit(least)
+    return df.join(worst.where(low).select("_id"), F.col(id_col) == F.col("_id"), "left_anti")
+
+
+def has_doc_comments(code: Column | str = "code", marker: str = "///") -> Column:
+    """Whether a line of the text is a documentation comment."""
+    c = F.col(code) if isinstance(code, str) else code
+    return F.coalesce(c.rlike(rf"(?m)^\s*{marker}"), F.lit(False))
+
+
+def weighted_sample(df: DataFrame, n: int, weight: Column, seed: int = SEED, id_col: str = "id") -> DataFrame:
+    """``n`` rows without replacement, with chances in proportion to ``weight``.
+
+    Each row gets the key ``-ln(u) / weight`` with ``u`` from its id's hash; the smallest keys win. Rows
+    with a null or non-positive weight are never drawn. The key is written as a hexadecimal fraction, so
+    that the cut is found as in ``sample_n``.
+    """
+    u = (hash_number(seeded_hash(seed, id_col)) + F.lit(0.5)) / F.lit(2.0 ** 32)
+    key = -F.log(u) / F.col("_w")
+    fraction = F.floor(key / (key + F.lit(1.0)) * F.lit(2.0 ** 52)).cast("long")
+    weighed = df.withColumn("_w", weight.cast("double")).filter("_w > 0").withColumn("_k", F.lower(F.lpad(F.hex(fraction), 13, "0")))
+    return _marked(weighed, F.col("_k"), id_col, n=n).filter("_in").drop("_in", "_w", "_k")
+
+
+def assign_subtypes(df: DataFrame, shares: dict[str, float], seed: int = SEED, id_col: str = "id", alias: str = "subtype") -> DataFrame:
+    """Add a subtype drawn by the id's hash with the given shares (percent or weights)."""
+    total, until = sum(shares.values()), 0.0
+    u = hash_number(seeded_hash(seed, id_col))
+    choice = F.when(F.lit(False), F.lit(None).cast("string"))
+    for name, share in shares.items():
+        until += share
+        choice = choice.when(u < F.lit(math.floor(until / total * 2 ** 32)), name)
+    return df.withColumn(alias, choice.otherwise(F.lit(list(shares)[-1])))
 
 
 def classify(df: DataFrame, simple_below: int = text.SIMPLE_BELOW, medium_below: int = text.MEDIUM_BELOW) -> DataFrame:
@@ -107,9 +173,10 @@ def stratified_sample(df: DataFrame, n: int = 20, seed: int = SEED, scale_quotas
     """``n`` diverse files in four phases: official ones, complexity quotas, source-class quotas,
     random fill. Quotas keep their size for other ``n`` unless ``scale_quotas``.
 
-    Each stratum first sends its leading rows by hash only (narrow columns, cut on the map side by
-    the group limit); the phases then work on that candidate set, whose size depends on ``n`` and
-    the quotas alone.
+    Candidates come first: of every stratum the rows whose hash is not above that of its
+    ``depth``-th row, found from a histogram of (stratum, hash bucket). No task gets a whole stratum,
+    whatever ``n``. The phases work on the candidates' narrow rows, whose number is set by ``n`` and
+    the quotas (and the rows that share a stratum's last bucket), not by the corpus.
     """
     official, by_complexity, by_source = QUOTA_OFFICIAL, QUOTA_COMPLEXITY, QUOTA_SOURCE
     if scale_quotas:
@@ -122,11 +189,16 @@ def stratified_sample(df: DataFrame, n: int = 20, seed: int = SEED, scale_quotas
         F.lit("any"), F.when(F.col("tier") == "official", F.lit("official")),
         F.concat(F.lit("c:"), "complexity"), F.concat(F.lit("s:"), "source_class"),
     )
+    bucketed = narrow.withColumns({"_b": hash_number(F.col("_h"), _BUCKET_DIGITS), "_stratum": F.explode(F.array_compact(strata))})
+    sizes_of = bucketed.groupBy("_stratum", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    running = Window.partitionBy("_stratum").orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    cuts = (
+        sizes_of.withColumn("_until", F.sum("_n").over(running)).filter(F.col("_until") - F.col("_n") < F.lit(depth))
+        .groupBy("_stratum").agg(F.max("_b").alias("_last"))
+    )
+    # one row per stratum; strata are as many as there are classes of size, source and tier
     leading = (
-        narrow.withColumn("_stratum", F.explode(strata)).filter(F.col("_stratum").isNotNull())
-        .withColumn("_r", F.row_number().over(Window.partitionBy("_stratum").orderBy("_h", "id"))).filter(F.col("_r") <= depth)
-        .drop("_r", "_stratum").dropDuplicates(["id"])
-        .coalesce(1)  # a few hundred narrow rows, set by n and the quotas: saves the phases their shuffles
+        bucketed.join(F.broadcast(cuts), "_stratum").filter(F.col("_b") <= F.col("_last")).drop("_stratum", "_b", "_last").dropDuplicates(["id"])
     )
 
     def rank(*groups):
@@ -157,8 +229,8 @@ def stratified_sample(df: DataFrame, n: int = 20, seed: int = SEED, scale_quotas
     )
     chosen = c.filter("_phase > 0").select("id", "_phase", place.alias("_place")).orderBy("_place").limit(n)
     picked = chosen.select("id", F.col("_phase").alias("phase"), "_place")
-    # at most n rows, a parameter
-    return classify(df.join(F.broadcast(picked), "id"), **sizes).orderBy("_place").drop("_place")
+    # n rows, a parameter: small enough to broadcast, or joined by shuffle
+    return classify(df.join(F.broadcast(picked) if n <= BROADCAST_ROWS else picked, "id"), **sizes).orderBy("_place").drop("_place")
 
 
 def sample_summary(sample: DataFrame) -> DataFrame:

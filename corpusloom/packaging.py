@@ -11,18 +11,19 @@ from pyspark.sql import SparkSession
 PACKAGE = Path(__file__).resolve().parent
 
 
-def ship(spark: SparkSession) -> None:
-    """Send the package's sources to the executors, once per Spark context.
+def ship(spark: SparkSession, package: Path = PACKAGE) -> None:
+    """Send a package's sources (this one's by default) to the executors, once per Spark context.
 
     Functions that Python workers run are pickled by reference, so each worker must be able to import
     the module. Spark copies the archive to the executors itself; no shared folder is involved.
     """
     sc = spark.sparkContext
-    if getattr(sc, "_corpusloom_shipped", False):
+    shipped = sc.__dict__.setdefault("_corpusloom_shipped", set())
+    if package.name in shipped:
         return
-    archive = Path(tempfile.mkdtemp(prefix="corpusloom-")) / f"{PACKAGE.name}.zip"
+    archive = Path(tempfile.mkdtemp(prefix="corpusloom-")) / f"{package.name}.zip"
     with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-        for source in sorted(PACKAGE.rglob("*.py")):
-            out.write(source, source.relative_to(PACKAGE.parent))
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
     sc.addPyFile(str(archive))
-    sc._corpusloom_shipped = True
+    shipped.add(package.name)

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from corpusloom.functions.keys import repo_key
 from corpusloom.operators import filters, registry
 from corpusloom.operators.dedup import dedup_across_chunks
+from corpusloom.session import scratch_path
 from corpusloom.sources.jsonl import append_records
+from corpusloom.sources.parquet import raw_snapshot
 from corpusloom.sources.registry_json import parse_package_items, parse_repo_items
 from corpusloom.sources.trees import extract_files
 
@@ -37,9 +39,13 @@ def collect_files(repos: DataFrame, tree: DataFrame, extension: str, official_ow
         "fork", "archived",
     )
     records = extract_files(tree.join(described, ["repo_owner", "repo_name"]), extension, official_owners, **bounds)
-    if corpus_path:
-        append_records(records, corpus_path)
-    return records
+    if not corpus_path:
+        return records
+    # one extraction: stored as a batch of its own, then read for the log and for the caller
+    spark = repos.sparkSession
+    stored = raw_snapshot(records, scratch_path(spark, "batch"))
+    append_records(stored, corpus_path)
+    return stored
 
 
 def collection_state(repos: DataFrame, records: DataFrame) -> DataFrame:

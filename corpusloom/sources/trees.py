@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,8 +27,15 @@ def read_tree(spark: SparkSession, root: str, extension: str, max_chars: int = M
         .option("pathGlobFilter", f"*.{extension}").load(root)
         .filter(F.col("length").between(min_chars, 4 * max_chars))
     )
-    prefix = root.rstrip("/").removeprefix("file:") + "/"
-    return files.select(F.substring_index("path", prefix, -1).alias("path"), "content")
+    # listed paths are absolute URIs: the qualified root, which they start with, is cut off once
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(root)
+    qualified = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(target).toString()
+    # "file:/a", "file:///a" and plain "/a" are the same place
+    scheme = r"^file:/+"
+    prefix = re.sub(scheme, "file:/", qualified.rstrip("/")) + "/"
+    listed = F.regexp_replace("path", scheme, "file:/")
+    return files.select(F.substring(listed, len(prefix) + 1, F.length(listed)).alias("path"), "content")
 
 
 def visible_path(path: Column) -> Column:

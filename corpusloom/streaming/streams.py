@@ -73,6 +73,18 @@ def stream_progress(log: DataFrame, event_time: str = "timestamp", window: str =
     )
 
 
+def stream_sessions(log: DataFrame, event_time: str = "timestamp", gap: str = "10 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Requests, failures and tokens per provider and run of activity: a session ends after ``gap`` without
+    a request. Sessions are final, and leave the state, when the watermark has passed them."""
+    ok = succeeded()
+    return (
+        log.withWatermark(event_time, delay).groupBy(F.session_window(event_time, gap).alias("w"), "provider")
+        .agg(F.count(F.lit(1)).alias("requests"), F.count_if(~ok).alias("failures"),
+             F.coalesce(F.sum(F.when(ok, F.col("output_tokens"))), F.lit(0)).alias("output_tokens"))
+        .select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "provider", "requests", "failures", "output_tokens")
+    )
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> StreamingQuery:
     """Process what is there and stop; a rerun with the same checkpoint takes only what is new."""
     query = (

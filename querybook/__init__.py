@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ["corpus", "repos", "genlog", "sampling", "chat", "io", "streams"]
+SECTIONS = ["corpus", "repos", "genlog", "sampling", "chat", "pairs", "io", "streams"]
 
 
 def load_all() -> None:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from corpusloom.operators import chat, filters, mixing, prompts, ranking, validation
 from corpusloom.operators import genlog as log_ops
 from corpusloom.operators.respond import batch_respond
 from corpusloom.operators.sampling import shuffle_rows
+from corpusloom.packaging import ship
 from corpusloom.session import scratch_path
 from corpusloom.sources.parquet import raw_snapshot
 from querybook.fixtures import chat_fx, corpus_fx, gen_fx, sql, table
@@ -144,6 +147,7 @@ def _length_responder():
                FROM (SELECT id AS source_file_id, task_type, length({user_sql('task_type', 'id')}) AS n FROM corpus_fx, {_TASKS})""",
            "corpus_fx"))
 def _(spark, sf):
+    ship(spark, Path(__file__).resolve().parent)  # the responder below is pickled by reference
     built = prompts.build_prompts(corpus_fx(spark, sf), BOOK)
     answered = batch_respond(
         built, _length_responder, ["source_file_id", "task_type"], max_retries=1, base_delay=0.0, max_tokens_col="max_tokens"
@@ -174,7 +178,8 @@ _RECORD_SQL = f"""SELECT 'sft_' || lpad(CAST(row_number() OVER (ORDER BY t.task_
 
 
 def records(spark, sf):
-    return ranking.dense_ids(chat.to_chat_record(joined(spark, sf), BOOK), ["task_type", "source_file_id"])
+    # one record per file and task: the pair is the key
+    return ranking.dense_ids(chat.to_chat_record(joined(spark, sf), BOOK), ["task_type", "source_file_id"], keys=["task_type", "source_file_id"])
 
 
 @query("to_chat_record",
@@ -414,6 +419,13 @@ def _(spark, sf):
 @query("quick_valid_messages",
        sql("""SELECT conv_id FROM ft GROUP BY conv_id HAVING bool_and(role IS NOT NULL AND role IN ('system', 'user', 'assistant')
                 AND content IS NOT NULL) AND max_by(coalesce(role, '?'), turn) = 'assistant'""", **_TYPED))
+def _(spark, sf):
+    return validation.quick_valid_messages(faulty(spark, sf), allow_null_content=False).select("conv_id")
+
+
+@query("quick_valid_messages_null_content",
+       sql("""SELECT conv_id FROM ft GROUP BY conv_id HAVING bool_and(role IS NOT NULL AND role IN ('system', 'user', 'assistant'))
+                AND max_by(coalesce(role, '?'), turn) = 'assistant'""", **_TYPED))
 def _(spark, sf):
     return validation.quick_valid_messages(faulty(spark, sf)).select("conv_id")
 

@@ -241,7 +241,7 @@ def _(spark, sf):
                 CAST(sum(len(string_split(code, chr(10)))) AS BIGINT) AS lines, CAST(sum(length(code)) AS BIGINT) AS chars
               FROM deduped""", "deduped"))
 def _(spark, sf):
-    return ops.corpus_summary(ops.filter_corpus(licensed(spark, sf), max_chars=MAX_CHARS))
+    return ops.deduplicated_summary(ops.filter_corpus(licensed(spark, sf), deduplicate=False, max_chars=MAX_CHARS))
 
 
 @query("license_distribution",

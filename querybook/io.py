@@ -44,6 +44,39 @@ def _(spark, sf):
     return chats.select("conv_id", F.size("messages").cast("long").alias("n_messages"), F.md5(whole).alias("digest"))
 
 
+@query("read_chat_jsonl_glob", "SELECT count(DISTINCT conv_id) AS records FROM conversations")
+def _(spark, sf):
+    # two folders named by one pattern, and one that does not exist
+    root = scratch_path(spark, "chats")
+    chats = chat_fx(spark, sf)
+    for k in range(2):
+        jsonl.write_jsonl(chats.where(F.col("conv_id") % 2 == k), f"{root}/part-{k}")
+    read = jsonl.read_chat_jsonl(spark, [f"{root}/part-*/*.json", f"{root}/none"])
+    return read.agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("malformed_lines", """SELECT count(*) AS lines, count(*) FILTER (conv_id % 6 = 1) AS malformed FROM (SELECT DISTINCT conv_id FROM conversations)""")
+def _(spark, sf):
+    path = scratch_path(spark, "chat")
+    whole = F.to_json(F.struct("messages"))
+    lines = chat_fx(spark, sf).select(F.when(F.col("conv_id") % 6 == 1, F.concat(F.lit("{"), whole)).otherwise(whole).alias("value"))
+    lines.write.text(path)
+    return jsonl.malformed_lines(spark, path)
+
+
+@query("read_tree", "SELECT source AS folder, count(*) AS lines, CAST(sum(doc_id) AS BIGINT) AS ids FROM documents GROUP BY source")
+def _(spark, sf):
+    # one folder of text files per source, below a root whose name recurs in every path
+    base = scratch_path(spark, "tree")
+    ids = table(spark, sf, "documents").select(F.concat(F.lit("root/"), "source").alias("at"), F.col("doc_id").cast("string").alias("value"))
+    ids.repartition("at").write.partitionBy("at").text(f"{base}/root")
+    files = trees.read_tree(spark, f"{base}/root", "txt", min_chars=0)
+    # .../at=root%2Fsrc1/part-0.txt
+    folder = F.regexp_extract("path", r"^at=root%2F([^/]+)/[^/]+\.txt$", 1)
+    lines = F.explode(F.split(F.rtrim(F.col("content").cast("string"), F.lit("\n")), "\n"))
+    return files.select(folder.alias("folder"), lines.alias("v")).groupBy("folder").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("v").cast("long")).alias("ids"))
+
+
 @query("write_parquet_zstd", _CORPUS_ROWS)
 def _(spark, sf):
     path = scratch_path(spark, "parquet")

@@ -88,6 +88,16 @@ def _(spark, sf):
     return sample.select("id", "phase", "complexity", "source_class", "tier")
 
 
+_SQL_5000 = {"cl": _CLASSED, "p1": _P1, "p2": _P2, "p3": _P3.replace("< 60", "< 5000"), "p4": _P4.replace("60 -", "5000 -"), "pk": _PICKED}
+
+
+@query("stratified_sample_large",
+       sql("SELECT id, phase, cx AS complexity, sc AS source_class, tier FROM pk", "corpus_fx", **_SQL_5000))
+def _(spark, sf):
+    sample = sampling.stratified_sample(corpus_fx(spark, sf), n=5_000, simple_below=3, medium_below=8)
+    return sample.select("id", "phase", "complexity", "source_class", "tier")
+
+
 @query("sample_summary",
        sql("""SELECT 'complexity' AS dimension, cx AS value, count(*) AS n FROM cl GROUP BY cx
               UNION ALL SELECT 'source_class', sc, count(*) FROM cl GROUP BY sc

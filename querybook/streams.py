@@ -91,3 +91,24 @@ def _(spark, sf):
     done = _finish(spark, progress, "progress", "complete")
     number = F.floor(F.unix_micros("window_start") / F.lit(21_600_000_000)).cast("long")
     return done.select(number.alias("window_no"), "provider", "requests", "failures", "input_tokens", "output_tokens")
+
+
+@query("stream_progress_append",
+       sql("""SELECT epoch_us(ts) // 21600000000 AS window_no, provider, count(*) AS requests, count(error) AS failures FROM lg
+              WHERE (epoch_us(ts) // 21600000000 + 1) * 21600000000 <= (SELECT max(epoch_us(ts)) FROM lg) - 600000000 GROUP BY 1, 2""", lg=_LOG))
+def _(spark, sf):
+    # append mode: a window is written once, when the watermark has passed it, and leaves the state
+    done = _finish(spark, streams.stream_progress(_log(spark, sf), window="6 hours"), "closed")
+    number = F.floor(F.unix_micros("window_start") / F.lit(21_600_000_000)).cast("long")
+    return done.select(number.alias("window_no"), "provider", "requests", "failures")
+
+
+@query("stream_sessions",
+       sql("""SELECT min(us) AS start_us, provider, count(*) AS requests, count(error) AS failures FROM (
+                SELECT *, sum(fresh) OVER (PARTITION BY provider ORDER BY us, request_id) AS s FROM (
+                  SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY provider ORDER BY us, request_id) < 1800000000 THEN 0 ELSE 1 END AS fresh
+                  FROM (SELECT *, epoch_us(ts) AS us FROM lg)))
+              GROUP BY provider, s HAVING max(us) + 1800000000 <= (SELECT max(epoch_us(ts)) FROM lg) - 600000000""", lg=_LOG))
+def _(spark, sf):
+    done = _finish(spark, streams.stream_sessions(_log(spark, sf), gap="30 minutes"), "sessions")
+    return done.select(F.unix_micros("session_start").alias("start_us"), "provider", "requests", "failures")
