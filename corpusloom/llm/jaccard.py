@@ -17,9 +17,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm import tiles
 from corpusloom.llm.common import ready, store
-from corpusloom.llm.components import connected_components
+from corpusloom.operators import tiles
+from corpusloom.operators.components import connected_components
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -128,29 +128,6 @@ def survivors(left: np.ndarray, right: np.ndarray, threshold: float, tolerance:
     return i, j
 
 
-def intersections(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Exact intersection sizes of the pairs: one by one if they are few, else by products of incidence columns."""
-    if len(i) <= 4 * len(sets):
-        return np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i.tolist(), j.tolist())], np.int64)
-    flat = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = count[column] > 1
-    renumber = np.cumsum(count > 1) - 1
-    column, owner = renumber[column[shared]], owner[shared]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    total = np.zeros((len(sets), len(sets)), np.float32)
-    width = 4096
-    last = int(column[-1]) + 1 if len(column) else 0
-    for a in range(0, last, width):
-        lo, hi = np.searchsorted(column, [a, a + width])
-        x = np.zeros((len(sets), min(width, last - a)), np.float32)
-        x[owner[lo:hi], column[lo:hi] - a] = 1
-        total += x @ x.T
-    return total[i, j].astype(np.int64)
-
-
 def link_tile(tile: pa.Table, threshold: float, tolerance: float) -> pa.RecordBatch:
     """``_id, links, root`` for the members of one tile."""
     _, first = np.unique(tile["_id"].to_numpy(), return_index=True)  # repeated rows
@@ -171,7 +148,7 @@ def link_tile(tile: pa.Table, threshold: float, tolerance: float) -> pa.RecordBa
     else:
         i, j = survivors(values, values, threshold, tolerance)
         i, j = i[i < j], j[i < j]
-    common = intersections(sets, i, j)
+    common = tiles.intersections(sets, i, j)
     good = common / np.maximum(sizes[i] + sizes[j] - common, 1) >= threshold
     i, j = i[good], j[good]
     links = np.zeros(len(ids), np.int64)

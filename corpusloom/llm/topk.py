@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import ready, store
-from corpusloom.llm.tiles import by_group
+from corpusloom.operators.tiles import by_group
 
 K = 20
 DIMENSIONS = 8  # of a block

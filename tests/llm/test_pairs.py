@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.llm import components, forest, jaccard, tiles, topk
+from corpusloom.llm import forest, jaccard, topk
+from corpusloom.operators import components, tiles
 
 
 def united(pairs, nodes):
@@ -117,7 +118,7 @@ def test_intersections(dense):
     g = np.random.default_rng(1)
     sets = [np.unique(g.integers(0, 60, 40).astype(np.uint64)) for _ in range(12)]
     i, j = np.nonzero(np.ones((12, 12), bool)) if dense else (np.array([0, 3]), np.array([1, 5]))
-    assert jaccard.intersections(sets, i, j).tolist() == [len(set(sets[a].tolist()) & set(sets[b].tolist())) for a, b in zip(i, j)]
+    assert tiles.intersections(sets, i, j).tolist() == [len(set(sets[a].tolist()) & set(sets[b].tolist())) for a, b in zip(i, j)]
 
 
 def vectors(seed=0, n=400, dim=16):
