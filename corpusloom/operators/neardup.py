@@ -23,9 +23,14 @@ def word_shingles(text: Column | str, words: int = WORDS) -> Column:
     """Distinct 64-bit hashes of the runs of ``words`` lower-case words; a shorter text is one run."""
     c = F.col(text) if isinstance(text, str) else text
     split = F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "")
-    last = F.greatest(F.size(split) - F.lit(words), F.lit(0))
-    runs = F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.array_join(F.slice(split, i + 1, words), " ")))
-    return F.when(F.size(split) > 0, F.array_distinct(runs))
+
+    def runs(w: Column) -> Column:
+        last = F.greatest(F.size(w) - F.lit(words), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, words), " ")))
+
+    # the outer lambda binds the words once; spelled out, the text would be split again for every run
+    hashed = F.transform(F.array(split), lambda w: F.when(F.size(w) > 0, F.array_distinct(runs(w))))
+    return F.when(c.isNotNull(), hashed[0])
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
