@@ -156,7 +156,7 @@ def mix_to_proportions(sources: dict[str, DataFrame], proportions: dict[str, flo
     share = sum(proportions.values())
     if total is None:
         total = math.floor(min(sources[k].count() * share / p for k, p in proportions.items() if p > 0))
-    parts = [sample_n(sources[k], math.floor(total * p / share), seed, id_col).withColumn("source", F.lit(k)) for k, p in proportions.items()]
+    parts = [sample_n(sources[k], math.floor(total * p / share), seed, id_col, exact=True).withColumn("source", F.lit(k)) for k, p in proportions.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -79,14 +79,23 @@ def _marked(df: DataFrame, hashed: Column, id_col: str, n: int | None = None, fr
     return clear.unionByName(edge).drop("_side")
 
 
-def sample_n(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id") -> DataFrame:
-    """Exactly n rows, or all rows when there are fewer. Rows with one id are told apart by their content."""
-    return _marked(df, seeded_hash(seed, id_col), id_col, n=n).filter("_in").drop("_in")
+def sample_n(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id", exact: bool = False) -> DataFrame:
+    """n rows, or all rows when there are fewer.
+
+    Rows that share an id go together, so with repeated ids a few more can come out; ``exact`` tells them
+    apart by their content and returns n rows whatever the ids are.
+    """
+    hashed = seeded_hash(seed, id_col)
+    if exact or n == 0:
+        return _marked(df, hashed, id_col, n=n).filter("_in").drop("_in")
+    last, _ = _cut(df, hashed, id_col, n)
+    place = F.struct(hashed.alias("_h"), F.col(id_col).alias("_id"))
+    return df.filter(last["_h"].isNull() | (place <= last))
 
 
-def shuffle_take(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id") -> DataFrame:
-    """First n rows of the seeded permutation, in its order; exact, so no shuffle buffer is involved."""
-    return shuffle_rows(sample_n(df, n, seed, id_col), seed, id_col)
+def shuffle_take(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id", exact: bool = False) -> DataFrame:
+    """First n rows of the seeded permutation, in its order, without a shuffle buffer; ``exact`` as in ``sample_n``."""
+    return shuffle_rows(sample_n(df, n, seed, id_col, exact), seed, id_col)
 
 
 def train_eval_split(df: DataFrame, fraction: float = EVAL_FRACTION, seed: int = SEED, id_col: str = "id",
@@ -102,12 +111,12 @@ def train_eval_split(df: DataFrame, fraction: float = EVAL_FRACTION, seed: int =
 
 def judge_sample(df: DataFrame, n: int = JUDGED, seed: int = SEED, id_col: str = "id") -> DataFrame:
     """Rows for a judge to score."""
-    return sample_n(df, n, seed, id_col)
+    return sample_n(df, n, seed, id_col, exact=True)
 
 
 def spot_check_sample(df: DataFrame, n: int = SPOT_CHECKED, seed: int = SEED, id_col: str = "id") -> DataFrame:
     """Rows for people to look at."""
-    return sample_n(df, n, seed, id_col)
+    return sample_n(df, n, seed, id_col, exact=True)
 
 
 def judge_reject(df: DataFrame, scores: DataFrame, dimensions: list[str], least: float = LEAST_SCORE, id_col: str = "id") -> DataFrame:
@@ -198,7 +207,9 @@ def stratified_sample(df: DataFrame, n: int = 20, seed: int = SEED, scale_quotas
     )
     # one row per stratum; strata are as many as there are classes of size, source and tier
     leading = (
-        bucketed.join(F.broadcast(cuts), "_stratum").filter(F.col("_b") <= F.col("_last")).drop("_stratum", "_b", "_last").dropDuplicates(["id"])
+        bucketed.join(F.broadcast(cuts), "_stratum").filter(F.col("_b") <= F.col("_last"))
+        .withColumn("_r", F.row_number().over(Window.partitionBy("_stratum").orderBy("_h", "id"))).filter(F.col("_r") <= depth)
+        .drop("_r", "_stratum", "_b", "_last").dropDuplicates(["id"])
     )
 
     def rank(*groups):

@@ -134,11 +134,11 @@ def limit_errors(errors: DataFrame, n: int = 20) -> DataFrame:
     return errors.orderBy("entry_key", "ord").limit(n)
 
 
-def quick_valid(messages: str = "messages", allow_null_content: bool = True) -> Column:
+def quick_valid(messages: str = "messages", allow_null_content: bool = False) -> Column:
     """Not empty, every message has a known role, the assistant speaks last.
 
-    A message must have a content, which may be null. Typed rows cannot tell an absent content from a
-    null one: ``allow_null_content=False`` rejects both.
+    Typed rows cannot tell an absent content from a null one: by default both are rejected,
+    ``allow_null_content=True`` (what ``mix_sources`` uses) keeps both.
     """
     def fine(m):
         known = m["role"].isin(ROLES)
@@ -150,7 +150,7 @@ def quick_valid(messages: str = "messages", allow_null_content: bool = True) ->
     return F.coalesce(good, F.lit(False))
 
 
-def quick_valid_messages(df: DataFrame, allow_null_content: bool = True) -> DataFrame:
+def quick_valid_messages(df: DataFrame, allow_null_content: bool = False) -> DataFrame:
     return df.filter(quick_valid(allow_null_content=allow_null_content))
 
 

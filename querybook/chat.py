@@ -420,14 +420,14 @@ def _(spark, sf):
        sql("""SELECT conv_id FROM ft GROUP BY conv_id HAVING bool_and(role IS NOT NULL AND role IN ('system', 'user', 'assistant')
                 AND content IS NOT NULL) AND max_by(coalesce(role, '?'), turn) = 'assistant'""", **_TYPED))
 def _(spark, sf):
-    return validation.quick_valid_messages(faulty(spark, sf), allow_null_content=False).select("conv_id")
+    return validation.quick_valid_messages(faulty(spark, sf)).select("conv_id")
 
 
 @query("quick_valid_messages_null_content",
        sql("""SELECT conv_id FROM ft GROUP BY conv_id HAVING bool_and(role IS NOT NULL AND role IN ('system', 'user', 'assistant'))
                 AND max_by(coalesce(role, '?'), turn) = 'assistant'""", **_TYPED))
 def _(spark, sf):
-    return validation.quick_valid_messages(faulty(spark, sf)).select("conv_id")
+    return validation.quick_valid_messages(faulty(spark, sf), allow_null_content=True).select("conv_id")
 
 
 _RAW_FAULTS = """SELECT conv_id, turn, role, content,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusloom.operators import ranking, sampling
-from querybook.fixtures import corpus_fx, sql
+from querybook.fixtures import corpus_fx, sql, table
 from querybook.registry import query
 
 _ORDER = "ORDER BY md5('42|' || id), id"
@@ -24,6 +24,13 @@ def _(spark, sf):
     return sampling.sample_n(corpus_fx(spark, sf), 100).select("id")
 
 
+@query("sample_n_repeated_ids", "SELECT CAST(25 AS BIGINT) AS n")
+def _(spark, sf):
+    # a few hundred documents share each of nine ids; exactly 25 rows come out
+    docs = table(spark, sf, "documents").select((F.col("doc_id") % 9).alias("id"), F.col("doc_id").alias("row"))
+    return sampling.sample_n(docs, 25, exact=True).agg(F.count_distinct("row").alias("n"))
+
+
 @query("sample_large_n",
        sql(f"SELECT event_id FROM events ORDER BY md5('42|' || CAST(event_id AS STRING)), event_id LIMIT 20000"))
 def _(spark, sf):
