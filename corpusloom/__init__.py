@@ -1,4 +1,4 @@
-"""corpusloom: source-corpus curation and chat-dataset operators for Spark.
+"""corpusloom: source-corpus curation and chat-record operators for Spark.
 
 Every operator is a plain ``DataFrame -> DataFrame`` function (or a ``Column`` builder), so jobs
 are written as ``df.transform(op)`` chains and Catalyst sees one logical plan.

@@ -82,7 +82,7 @@ def _facts(df: DataFrame, tags: list[str]) -> DataFrame:
     roles = F.transform(messages, lambda m: fact("role", F.coalesce(m["role"], F.lit("unknown"))))
     facts = df.select(F.inline(F.concat(F.array(*per_record), lengths, roles)))
     counted = facts.groupBy("stat", "key", "value").agg(F.count(F.lit(1)).alias("n"))
-    # totals of zero for an empty dataset
+    # totals of zero for an empty set
     nothing = df.sparkSession.range(1).select(
         F.lit("messages").alias("stat"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("long").alias("value"),
         F.lit(0).cast("long").alias("n"),

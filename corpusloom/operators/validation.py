@@ -119,7 +119,7 @@ def validate_chat(df: DataFrame, key: str, raw: str | None = None) -> DataFrame:
 
 
 def validation_summary(df: DataFrame, key: str, raw: str | None = None) -> DataFrame:
-    """Entries, valid entries, their share and the verdict; an empty dataset fails."""
+    """Entries, valid entries, their share and the verdict; an empty set of records fails."""
     checked = with_errors(df, key, raw)
     return checked.agg(
         F.count(F.lit(1)).alias("entries"), F.count_if(F.size("errors") == 0).alias("valid"),
