@@ -8,6 +8,7 @@ task only when few bins are left; a round that merges next to nothing is the las
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -25,7 +26,7 @@ from corpusloom.llm.common import ready, store
 from corpusloom.llm.pieces import DEFAULT_TOKENIZER, Splitter, chunks, load_spec, tokenizer_path
 
 CHUNK_CHARS = 4_000_000
-CACHE_PIECES = 400_000
+CACHE_PIECES = 500_000
 SLICE = 100_000  # items that one best-fit pass of round one holds at a time
 
 
@@ -53,7 +54,8 @@ class PieceIds:
             for i in range(0, len(new), 50_000):
                 part = new[i:i + 50_000]
                 for p, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                    self.cache[p] = np.array(e.ids, "<u4").tobytes()
+                    ids = e.ids
+                    self.cache[p] = struct.pack(f"<{len(ids)}I", *ids)
             for pieces in split:
                 yield b"".join(map(self.cache.__getitem__, pieces))
 

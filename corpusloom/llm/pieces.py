@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import regex
@@ -10,6 +11,11 @@ import regex
 # Fixed value: the split pattern of byte-level BPE vocabularies of this family.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+# The same cuts for texts in a common alphabet, where the classes can be spelled out: about twice as fast.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_COMMON = re.compile(rf" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[^\s0-9{_LETTERS}]+| ?[0-9]+|\s+(?!\S)|\s+")
+_UNCOMMON = re.compile("[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ÿ‐-‧]")
+
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -38,7 +44,10 @@ class Splitter:
     def __init__(self, spec: dict):
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self._special = regex.compile("|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True)))) if self.specials else None
-        self.split = regex.compile(PATTERN).findall
+        self._any = regex.compile(PATTERN).findall
+
+    def split(self, text: str) -> list[str]:
+        return self._any(text) if _UNCOMMON.search(text) else _COMMON.findall(text)
 
     def pieces(self, text: str) -> list[str]:
         """Pieces in order; a special token stands as its own string, which no plain piece can equal."""
