@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from corpusloom.llm.common import ready
+from corpusloom.llm.common import ready, tidy
 from corpusloom.llm.pieces import DEFAULT_TOKENIZER, Splitter, chunks, load_spec, printable_bytes, tokenizer_path
 
 CHUNK_CHARS = 4_000_000
@@ -162,7 +162,7 @@ def encode(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, id_col: str = "d
             ids = pa.array(engine.encode(texts), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), ids], [id_col, "ids"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -176,7 +176,7 @@ def decode(encoded: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, id_col: str =
             texts = pa.array([engine.decode(ids or []) for ids in batch.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), texts], [id_col, "text"])
 
-    return encoded.select(id_col, ids_col).mapInArrow(run, schema)
+    return encoded.select(id_col, ids_col).mapInArrow(tidy(run), schema)
 
 
 def digests(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -221,4 +221,4 @@ def digests(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER, id_col: str = "
                 schema.fieldNames(),
             )
 
-    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(tidy(run), schema)

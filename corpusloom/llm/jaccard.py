@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import ready, store
+from corpusloom.llm.common import ready, store, tidy
 from corpusloom.operators import tiles
 from corpusloom.operators.components import connected_components
 
@@ -32,7 +32,7 @@ CHUNK = 16_384  # shingles hashed at a time
 class WordHash(dict):
     def __missing__(self, word: str) -> int:
         h = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"))
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h
         return h
@@ -182,7 +182,7 @@ def shingle_sets(rows: DataFrame) -> DataFrame:
             chosen = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([*(chosen.column(k) for k in range(4)), pa.array(sets, pa.binary())], [*columns, "_set"])
 
-    return rows.select(*columns, "_text", "_digest").mapInArrow(run, "_member long, _group long, _copies long, _size long, _set binary")
+    return rows.select(*columns, "_text", "_digest").mapInArrow(tidy(run), "_member long, _group long, _copies long, _size long, _set binary")
 
 
 def similarity_groups(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
@@ -220,7 +220,7 @@ def similarity_groups(docs: DataFrame, threshold: float = THRESHOLD, tolerance:
                 [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
                 ["_id", "_digest", "_size", "_bands"])
 
-    signed = store(rows.mapInArrow(run, "_id long, _digest binary, _size long, _bands array<long>"), "signatures")
+    signed = store(rows.mapInArrow(tidy(run), "_id long, _digest binary, _size long, _bands array<long>"), "signatures")
     # one member per distinct text: smallest id, weight and (alike in all copies) the bands
     heads = signed.where("_digest is not null").groupBy("_digest").agg(
         F.min("_id").alias("_head"), F.count("*").alias("_copies"), F.first("_size").alias("_size"), F.first("_bands").alias("_bands"))

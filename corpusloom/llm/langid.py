@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from corpusloom.llm.common import id_bucket, ready
+from corpusloom.llm.common import id_bucket, ready, tidy
 
 # Families of closely related languages; any other code is a family of its own.
 FAMILIES = {
@@ -196,7 +196,7 @@ def fit(
             yield pa.RecordBatch.from_arrays(
                 [pa.array(langs, pa.string()), pa.array(cells, pa.binary()), pa.array(values, pa.binary())], ["lang", "cells", "values"])
 
-    rows = sorted(map(tuple, sample.mapInArrow(run, "lang string, cells binary, values binary").collect()))
+    rows = sorted(map(tuple, sample.mapInArrow(tidy(run), "lang string, cells binary, values binary").collect()))
     if not rows:
         return None
     x = np.zeros((len(rows), DIMENSIONS), np.float32)
@@ -248,7 +248,7 @@ def predict(
                 [*[batch.column(i) for i in range(len(keep))], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], schema.fieldNames())
 
     sent = [F.col(f"`{c}`") for c in keep] + ([] if text_col in keep else [F.col(text_col)])
-    return docs.select(*sent).mapInArrow(run, schema)
+    return docs.select(*sent).mapInArrow(tidy(run), schema)
 
 
 def held_out(id_col: str = "doc_id", folds: int = 4, fold: int = 2) -> Column:

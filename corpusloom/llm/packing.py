@@ -22,11 +22,11 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, BooleanType, IntegerType, LongType, StructField, StructType,
 )
 
-from corpusloom.llm.common import ready, store
+from corpusloom.llm.common import ready, store, tidy
 from corpusloom.llm.pieces import DEFAULT_TOKENIZER, Splitter, chunks, load_spec, tokenizer_path
 
-CHUNK_CHARS = 4_000_000
-CACHE_PIECES = 500_000
+CHUNK_CHARS = 2_000_000
+CACHE_PIECES = 400_000
 SLICE = 100_000  # items that one best-fit pass of round one holds at a time
 
 
@@ -104,7 +104,7 @@ def tokenize_pieces(
                       *(pa.array(x, pa.int64()) for x in (start, length, crc))]
             yield pa.RecordBatch.from_arrays([*arrays, *([pa.array(kept, pa.binary())] if with_ids else [])], schema.fieldNames())
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(tidy(run), schema)
 
 
 def best_fit(sizes: Iterable[int], capacity: int) -> list[tuple[int, list[int]]]:
@@ -212,7 +212,7 @@ def pack(
     waiting, before, tasks, number = single, None, None, 0
     while True:
         last = tasks == 1
-        bins = store(waiting.mapInArrow(packer(number, last), bins_schema), f"bins-{number}")
+        bins = store(waiting.mapInArrow(tidy(packer(number, last)), bins_schema), f"bins-{number}")
         left = 0 if last else bins.where(~F.col("done")).count()
         stuck = before is not None and left > 0.95 * before
         out.append(bins if last or stuck or not left else bins.where("done"))
