@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import ready, store, with_position
+from corpusloom.llm.common import hash_sample, ready, store, with_position
 from corpusloom.session import scratch_path
 
 # Fixed values of the WARC and WARC-Zstandard formats.
@@ -126,7 +126,7 @@ def write_archives(pages: DataFrame, folder: str | None = None, least_bytes: int
     revisits = narrow.join(repeated, "_digest").where(~((F.col("_file") == F.col("_head._file")) & (F.col("_row") == F.col("_head._row")))).select(
         "_file", "_row", F.lit(True).alias("_revisit"), F.col("_head._id").alias("_refers_to"))
 
-    draw = rows.select("_id", "_url", "_html").orderBy(F.xxhash64("_file", "_row")).limit(SAMPLE_RECORDS).collect()
+    draw = hash_sample(rows, SAMPLE_RECORDS, "_file", "_row").select("_id", "_url", "_html").collect()
     samples = [(r._id, r._url, (r._html or "").encode("utf-8", "surrogatepass")) for r in draw]
     dictionary = train_dictionary([record(i, u, p, base32_sha1(p), False, None) for i, u, p in samples])
 
