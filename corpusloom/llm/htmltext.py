@@ -19,11 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from corpusloom.llm.common import ready
+from corpusloom.llm.common import hash_sample, ready
 from corpusloom.llm.htmlblocks import Block, blocks
 
 SAMPLE_PAGES = 120  # bound of the training sample
-LAYOUTS = 5  # layouts that each sampled page's text is set in
+LAYOUTS = 8  # layouts that each sampled page's text is set in
 EPOCHS, RATE, DECAY = 10, 0.3, 1e-4
 
 SECTIONS = frozenset("article aside blockquote body div figure footer form header main menu nav section table td ul ol".split())
@@ -141,7 +141,7 @@ class Field:
 
 
 # Names by which sites mark the parts of a page.
-MAIN_NAMES = "article content post entry story main body text page".split()
+MAIN_NAMES = "article content post entry story main body text page title headline".split()
 OTHER_NAMES = {
     "nav": "nav navigation menu navbar breadcrumb breadcrumbs topbar links pagination pager toc".split(),
     "header": "header masthead banner logo branding top site".split(),
@@ -154,8 +154,8 @@ OTHER_NAMES = {
     "share": "share social sharing tools meta tags".split(),
 }
 OTHER_TAGS = {
-    "nav": "nav div ul", "header": "header div", "footer": "footer div", "aside": "aside div section", "ad": "div aside section ins", "notice": "div section p aside dialog",
-    "comments": "section div ol aside", "form": "form", "share": "div ul",
+    "nav": "nav div ul", "header": "header div", "footer": "footer div", "aside": "aside div section", "ad": "div aside section ins p", "notice": "div section p p aside dialog",
+    "comments": "section div ol ul aside", "form": "form", "share": "div ul",
 }
 
 
@@ -210,44 +210,61 @@ class Layout:
             inner = items if tag in ("ul", "ol") else f"<ul>{items}</ul>" if r.random() < 0.7 else items.replace("<li>", "<div>").replace("</li>", "</div>")
         elif kind == "comments":
             inner = "".join(f"<div{self.attributes('comments')}><p>{self.mark(self.prose(), 0)}</p></div>" if r.random() < 0.6 else
-                            f"<{'li' if tag == 'ol' else 'p'}>{self.mark(self.prose(), 0)}</{'li' if tag == 'ol' else 'p'}>" for _ in range(r.randint(1, 4)))
+                            f"<{'li' if tag in ('ol', 'ul') else 'p'}>{self.mark(self.prose(), 0)}</{'li' if tag in ('ol', 'ul') else 'p'}>" for _ in range(r.randint(1, 4)))
             if r.random() < 0.5:
-                inner = f"<h3>{self.mark(self.some(1, 3), 0)}</h3>{inner}"
+                inner = self.heading(1, 3) + inner
+            if r.random() < 0.2:
+                inner = f"<article{self.attributes('comments')}><p>{self.mark(self.prose(), 0)}</p></article>{inner}"
         elif kind == "form":
             inner = f'<label>{self.mark(self.some(1, 3), 0)}</label><input name="q"><button>{self.mark(self.some(1, 2), 0)}</button>'
+            if r.random() < 0.3:
+                inner += f"<select><option>{self.mark(self.some(1, 2), 0)}</option><option>{self.mark(self.some(1, 2), 0)}</option></select>"
+            if r.random() < 0.2:
+                inner += f"<textarea>{self.mark(self.some(1, 5), 0)}</textarea>"
         elif tag == "p":
             inner = self.mark(self.some(3, 25), 0)
         else:
             body = self.mark(self.prose() if r.random() < 0.4 else self.some(2, 20), 0)
             inner = body if r.random() < 0.5 else f"<p>{body}</p>"
-            if r.random() < 0.2:
-                inner = f"<h3>{self.mark(self.some(1, 4), 0)}</h3>{inner}"
+            if r.random() < 0.25:
+                inner = self.heading(1, 4) + inner
+        if kind == "header" and r.random() < 0.3:
+            inner = f"<h1>{self.mark(self.some(1, 4), 0)}</h1>{inner}"
         return f"<{tag}{attributes}>{inner}</{tag}>"
 
+    def heading(self, low: int, high: int) -> str:
+        """A heading of a part that is not the article."""
+        tag = self.r.choice(["h2", "h3", "h4"])
+        return f"<{tag}>{self.mark(self.some(low, high), 0)}</{tag}>"
+
     def prose(self) -> str:
         return self.r.choice(self.texts)
 
     def main(self) -> str:
         r = self.r
-        tag = r.choice(["article", "article", "article", "main", "div", "section", ""])
+        tag = r.choice(["article", "article", "article", "main", "div", "section", "", ""])
         attributes = ""
         while tag in ("div", "section") and not attributes:
             attributes = self.attributes(None)
         title = f"<h1>{self.mark(self.some(3, 12), 1)}</h1>"
-        inner = [f"<header>{title}</header>" if r.random() < 0.3 else title]
+        inner = [f"<header>{title}</header>" if r.random() < 0.3 and tag else title if r.random() < 0.8 else ""]
         for _ in range(r.randint(1, 10)):
             x = r.random()
-            if x < 0.68:
+            if x < 0.50:
                 inner.append(f"<p>{self.mark(self.prose() if r.random() < 0.8 else self.some(1, 8), 1)}</p>")
-            elif x < 0.74:
+            elif x < 0.56:
+                inner.append(f"<div{self.attributes(None) if not tag or r.random() < 0.6 else ''}>{self.mark(self.prose(), 1)}</div>")
+            elif x < 0.62:
+                inner.append(f"<figure><img src='i'><figcaption>{self.mark(self.some(2, 10), 1)}</figcaption></figure><pre>{self.mark(self.some(2, 10), 1)}</pre>")
+            elif x < 0.68:
                 inner.append(f"<h2>{self.mark(self.some(1, 8), 1)}</h2>")
-            elif x < 0.80:
+            elif x < 0.74:
                 inner.append(f"<ul><li>{self.mark(self.some(2, 15), 1)}</li><li>{self.mark(self.some(2, 15), 1)}</li></ul>")
-            elif x < 0.84:
+            elif x < 0.78:
                 inner.append(f"<blockquote>{self.mark(self.prose(), 1)}</blockquote>")
-            elif x < 0.87:
+            elif x < 0.81:
                 inner.append(f"<table><tr><td>{self.mark(self.some(1, 5), 1)}</td><td>{self.mark(self.some(1, 5), 1)}</td></tr></table>")
-            elif x < 0.90:
+            elif x < 0.84:
                 inner.append(f"<p><a href='/x'>{self.mark(self.some(3, 10), 1)}</a> {html.escape(self.some(5, 20))}</p>")
             else:
                 inner.append(self.other(r.choice(["ad", "aside", "share", "comments", "form", "notice", "nav"])))
@@ -260,8 +277,9 @@ class Layout:
 
     def page(self) -> tuple[list[Block], list[int]]:
         r = self.r
-        before = [self.other(k) for k in ("header", "nav", "notice", "ad", "form") if r.random() < 0.5]
-        after = [self.other(k) for k in ("aside", "comments", "ad", "nav", "form", "notice", "footer") if r.random() < 0.5]
+        often = r.choice([0.0, 0.3, 0.5, 0.7])
+        before = [self.other(k) for k in ("header", "nav", "notice", "ad", "form") if r.random() < often]
+        after = [self.other(k) for k in ("aside", "comments", "ad", "nav", "form", "notice", "footer") if r.random() < often]
         body = "".join([*before, self.main(), *after])
         if r.random() < 0.4:
             body = f'<div class="{r.choice(["wrapper", "container", "page", "layout"])}">{body}</div>'
@@ -295,10 +313,10 @@ def main_text(field: Field, source: str | None) -> str:
 
 
 def fit(pages: DataFrame, sample: int = SAMPLE_PAGES, id_col: str = "page_id", html_col: str = "html") -> Field:
-    """Train on the ``sample`` pages with the smallest id hashes; without pages, on layouts of stock text."""
+    """Train on about ``sample`` pages, chosen by hash; without pages, on layouts of stock text."""
     ready(pages)
-    rows = pages.where(F.col(html_col).isNotNull()).select(F.col(html_col).alias("_html"), F.xxhash64(id_col, html_col).alias("_key"))
-    return train([r["_html"] for r in rows.orderBy("_key").limit(sample).collect()])
+    rows = pages.select(F.col(id_col).alias("_id"), F.col(html_col).alias("_html")).where("_html is not null")
+    return train(sorted(r["_html"] for r in hash_sample(rows, sample, "_id", "_html").collect()))
 
 
 def extract(pages: DataFrame, field: Field, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -232,7 +232,17 @@ def test_articles_of_the_given_pages(spark, field):
         assert r.text == "\n".join(x for x in want if x) and r.n_chars == len(r.text)
 
 
+B = "This is the first real paragraph of the story, with words. It has more."
+
+
 @pytest.mark.parametrize("source,want", [
+    (f"<body><div role='navigation'><a href=x>Home</a> <a href=y>News</a></div><div class='content'><h1>Head</h1><p>{B}</p><p>Short.</p></div><ul class='comments'><li>Nice one indeed.</li></ul></body>", f"Head\n{B}\nShort."),
+    (f"<body><header><h1>Site name</h1><nav><a>a</a></nav></header><article><h1>T</h1><div><p>{B}</p><div><p>Inner.</p></div></div><figure><img src=a><figcaption>A caption.</figcaption></figure>"
+     f"<pre>code  here</pre><table><tr><td>1</td><td>two</td></tr></table><p class='notice'>Please note cookies</p></article><div id='disqus_thread'><p>I disagree with this.</p></div><footer>x</footer></body>",
+     f"T\n{B}\nInner.\nA caption.\ncode here\n1\ntwo"),
+    (f"<body><aside class='sidebar'><h3>Related</h3><p>{B}</p></aside><article><p>{B}</p></article><div class='related-posts'><h3>More</h3><p>Read this too, it is good.</p></div></body>", B),
+    (f"<body><article><h1>T</h1><p>{B}</p><div class='comments'><h2>Comments</h2><article class='comment'><p>Comment text by a reader.</p></article></div></article></body>", f"T\n{B}"),
+    (f"<p>{B}</p><p>{B}</p>", f"{B}\n{B}"),
     ("<body><header><a href='/'>Site</a></header><div class='sidebar'>side text</div><article><header><h1>Title</h1></header><p>Real &lt;text&gt; here.</p>"
      "<aside>Related things</aside><div class='ad'>Buy now</div><p>More&nbsp;&amp; more</p><section id='comments'><p>I like this article very much.</p></section></article><footer>foot</footer></body>",
      "Title\nReal <text> here.\nMore & more"),
