@@ -26,6 +26,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 40, 6  # a pair at 0.8 shares no band with probability 5e-6, one at 0.3 shares one with 0.03
 STEP, STEPS = 32, 5  # values compared at a time, and how often
 TOLERANCE = 1e-6  # posterior probability below which a pair is dropped
+BROADCAST_IDS = 1_000_000  # 8 MB of ids
 CHUNK = 16_384  # shingles hashed at a time
 
 
@@ -248,9 +249,11 @@ def similarity_groups(docs: DataFrame, threshold: float = THRESHOLD, tolerance:
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` without those that ``groups`` (:func:`similarity_groups`) does not keep.
 
-    Of rows that repeat both id and text one stays; rows with a null id stay.
+    Of rows that repeat both id and text one stays; rows with a null id stay. Up to ``BROADCAST_IDS``
+    dropped ids are broadcast after they have been counted, so that no text moves; more are joined by shuffle.
     """
-    out = docs.join(groups.where(~F.col("kept")).select(id_col).distinct(), id_col, "left_anti")
+    dropped = groups.where(~F.col("kept")).select(id_col).distinct()
+    out = docs.join(F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped, id_col, "left_anti")
     twice = groups.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
     if twice.isEmpty():
         return out.select(docs.columns)
