@@ -28,8 +28,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose perplexity lies within what trusted documents of their language show."""
     trusted = quality.trusted_ids(table(spark, sf_dir, "labels"))
-    scored = store(quality.score(docs, quality.fit(docs, trusted), docs.columns), "scored-documents")
-    _, kept = quality.accepted(quality.cuts(scored, trusted))
+    scored = store(quality.score(docs, quality.fit_halves(docs, trusted), docs.columns), "scored-documents")
+    *_, kept = quality.accepted(quality.cuts(scored, trusted))
     return scored.where(kept).select(docs.columns)
 
 
