@@ -7,21 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import jaccard, langid, packing, quality
+from corpusloom.llm import jaccard, langid, limits, packing, quality
 from corpusloom.llm.common import store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-#: Documents whose language is less certain than this are rejected. Ordinary text scores above 0.9, one or two
-#: words about 0.4.
-LEAST_LANGUAGE_SCORE = 0.2
+#: Share of the held-out documents with a rightly predicted language that score below the threshold of their language
+#: and length class; classes take their neighbours along up to so many documents.
+LANGUAGE_QUANTILE, LEAST_HELD_OUT = 0.005, 100
+#: No threshold is lower. With two classes on both levels every text with a letter scores 0.25 or more.
+LEAST_LANGUAGE_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with a recognised language; a missing ``lang`` takes the predicted one."""
-    model = langid.fit(docs)
-    found = langid.predict(docs, model, docs.columns)
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    """Keep documents that score like held-out documents of their language; a missing ``lang`` takes the predicted one."""
+    model = langid.fit(docs, ~langid.held_out())
+    length = F.length("text")
+    tried = langid.predict(docs.where(langid.held_out() & F.col("lang").isNotNull()).select("lang", "text", length.alias("length")),
+                           model, ["lang", "length"])
+    found = limits.limits(tried.where("lang_pred = lang"), F.col("score"), F.col("length"), F.col("lang"), 1000.0,
+                          LANGUAGE_QUANTILE, 0.0, LEAST_HELD_OUT)
+    least = F.greatest(found.column(F.col("lang_pred"), length, 0), F.lit(LEAST_LANGUAGE_SCORE))
+    kept = langid.predict(docs, model, docs.columns).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= least))
     return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(docs.columns)
 
 
