@@ -12,7 +12,8 @@ BLOCK_TAGS = frozenset(
     "h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td "
     "textarea tfoot th thead title tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
-SILENT_TAGS = frozenset("script style noscript template iframe object svg math head title audio video canvas".split())
+SILENT_TAGS = frozenset("script style noscript template iframe object svg annotation annotation-xml head title audio video canvas".split())
+HEAD_TAGS = frozenset("base link meta title style script noscript template".split())  # start tags that leave a head open
 RAW_TAGS = frozenset("script style title textarea iframe noscript".split())  # no markup inside
 CLOSED_BY_BLOCK = frozenset("p".split())
 SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
@@ -46,7 +47,7 @@ def blocks(source: str | None) -> list[Block]:
     """Leaf blocks with text, in page order. Comments, scripts, styles and the head have none.
 
     Forgiving like a browser: open paragraphs, items and cells close at the next one, end tags without a
-    start are ignored, a tag cut off by the end of the page is no text. A line break is white space.
+    start are ignored, a head ends at the first thing that may not stand in it, a tag cut off by the end of the page is no text. A line break is white space.
     """
     out: list[Block] = []
     tags: list[str] = []
@@ -69,8 +70,15 @@ def blocks(source: str | None) -> list[Block]:
         silent -= sum(t in SILENT_TAGS for t in tags[depth:])
         del tags[depth:], names[depth:]
 
+    def end_head() -> None:
+        """Close an open head, unless the place is inside a template of it."""
+        if "head" in tags and "template" not in tags:
+            pop_to(tags.index("head"))
+
     def add(text: str) -> None:
         nonlocal linked
+        if silent and tags[-1] == "head" and text.strip():
+            end_head()
         if text and not silent:
             words.append(text)
             if "a" in tags:
@@ -93,6 +101,8 @@ def blocks(source: str | None) -> list[Block]:
         if not m[0].endswith(">"):
             break
         tag = tag.lower()
+        if not slash and tag not in HEAD_TAGS:
+            end_head()
         if tag in BLOCK_TAGS:
             flush()
         elif tag == "br":
