@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import bpe, forest, hmm, htmltext, jaccard, langid, oracles, packing, quality, topk, warc
+from corpusloom.llm import (
+    bpe, forest, hmm, htmltext, jaccard, langid, lexical, licenses, negatives, oracles, packing, quality, topk, warc,
+)
 from corpusloom.llm.common import table
 from querybook.registry import query
 
@@ -60,3 +62,20 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op11_negatives", oracles.HARD_NEGATIVES)
+def op11_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+@query("op12_lexical", oracles.RANKED_DOCUMENTS)
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op13_licenses", licenses.oracle_sql())
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
