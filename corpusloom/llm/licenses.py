@@ -73,25 +73,34 @@ TEMPLATES = [
 
 
 def padded(text: Column) -> Column:
-    """The words of a text, each between two spaces of its own; empty without a word."""
-    bare = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SEPARATORS, "  "))
+    """The words of a text, each between two spaces of its own; empty without a word.
+
+    ``lower`` also lowers letters beyond ASCII, which no phrase holds; the Kelvin sign, the one letter of which
+    that would make an ASCII letter, is replaced by another letter first.
+    """
+    lowered = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138")))
+    bare = F.trim(F.regexp_replace(lowered, SEPARATORS, "  "))
     return F.when(bare == "", "").otherwise(F.concat(F.lit(" "), bare, F.lit(" ")))
 
 
+def words_in(padded_text: Column) -> Column:
+    """The words as an array; null without a word."""
+    return F.when(padded_text != "", F.split(F.trim(padded_text), "  "))
+
+
 def pattern(phrase: str) -> str:
     """What :func:`padded` makes of a phrase: found there exactly where the words stand consecutively."""
     return " " + "  ".join(phrase.split()) + " "
 
 
-def word_count(padded_text: Column) -> Column:
-    """Every word brings two spaces."""
-    return ((F.length(padded_text) - F.length(F.replace(padded_text, F.lit(" "), F.lit("")))) / 2).cast("long")
+def occurrences(text: Column, part: str) -> Column:
+    """How often an ASCII string occurs: bytes that go when it goes."""
+    return ((F.octet_length(text) - F.octet_length(F.replace(text, F.lit(part), F.lit("")))) / len(part)).cast("long")
 
 
-def places(padded_text: Column, phrase: str) -> Column:
-    """How often the phrase occurs."""
-    p = pattern(phrase)
-    return ((F.length(padded_text) - F.length(F.replace(padded_text, F.lit(p), F.lit("")))) / len(p)).cast("long")
+def word_count(padded_text: Column) -> Column:
+    """Every word brings two spaces."""
+    return (occurrences(padded_text, " ") / 2).cast("long")
 
 
 def licence_words(templates: list[Template]) -> list[str]:
@@ -147,32 +156,39 @@ def scan(docs: DataFrame, templates: list[Template] | None = None, id_col: str =
     """
     templates = TEMPLATES if templates is None else templates
     texts = docs.select(F.col(id_col).alias("_id"), padded(F.col(text_col)).alias("padded"))
-    words = texts.withColumn("words", F.filter(F.split("padded", " +"), lambda w: w != ""))
-    ranked = by_rarity(words.select("words"), templates)
+    ranked = by_rarity(texts.select(words_in(F.col("padded")).alias("words")), templates)
+
+    words = texts.withColumn("words", words_in(F.col("padded")))
     held = words.withColumn("held", F.array_intersect(F.array(*map(F.lit, ranked)), F.col("words")))
 
-    n_words = word_count(F.col("padded"))
-    base = [(p, label, F.contains("padded", F.lit(pattern(p)))) for p, label in BASE_PHRASES.items()]
-    first = [F.when(has, word_count(F.substring_index("padded", pattern(p), 1))) for p, _, has in base]
-    last = [F.when(has, n_words - len(p.split()) - word_count(F.substring_index("padded", pattern(p), -1))) for p, _, has in base]
-    base_labels = [F.when(has, F.lit(label)) for _, label, has in base]
+    def there(phrase: str) -> Column:
+        return F.contains("padded", F.lit(pattern(phrase)))
 
     def accepted(t: Template) -> Column:
-        """Share of agreeing words, null where the template is not accepted. Phrases are looked at first: they are cheap."""
-        there = F.lit(True)
+        """``agree, of`` where the file holds every word of the key phrases, the places agree and the phrases stand there."""
+        needed = sorted({w for p in t.phrases for w in p.split()})
+        candidate = F.size(F.array_intersect(F.array(*map(F.lit, needed)), F.col("held"))) == len(needed)
+        found = F.when(candidate, agreement(t, ranked))
+        verified = found["agree"] >= AGREE
         for p in t.phrases:
-            there = there & F.contains("padded", F.lit(pattern(p)))
-        return F.when(there, agreement(t, ranked))
-
-    found = held.select("*", *[accepted(t).alias(f"t{k}") for k, t in enumerate(templates)])
-    shares = [F.when(F.col(f"t{k}.agree") >= AGREE, F.col(f"t{k}.agree") / F.col(f"t{k}.of")) for k in range(len(templates))]
+            verified = verified & there(p)
+        return F.when(verified, found["agree"] / found["of"])
+
+    found = held.select("_id", "padded", word_count(F.col("padded")).alias("n_words"), *[there(p).alias(f"b{k}") for k, p in enumerate(BASE_PHRASES)],
+                        *[accepted(t).alias(f"t{k}") for k, t in enumerate(templates)])
+    base = [(F.col(f"b{k}"), p, label) for k, (p, label) in enumerate(BASE_PHRASES.items())]
+    n_base = [F.when(has, occurrences(F.col("padded"), pattern(p))).otherwise(0) for has, p, _ in base]
+    first = [F.when(has, word_count(F.substring_index("padded", pattern(p), 1))) for has, p, _ in base]
+    last = [F.when(has, F.col("n_words") - len(p.split()) - word_count(F.substring_index("padded", pattern(p), -1))) for has, p, _ in base]
+    base_labels = [F.when(has, F.lit(label)) for has, _, label in base]
+    shares = [F.col(f"t{k}") for k in range(len(templates))]
     labels = [F.when(s.isNotNull(), F.lit(t.label)) for t, s in zip(templates, shares)]
 
     def joined(of: list[Column]) -> Column:
         return F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*of)))), ",")
 
     return found.select(
-        F.col("_id").alias(id_col), n_words.alias("n_words"), sum((places(F.col("padded"), p) for p, _, _ in base), F.lit(0).cast("long")).alias("n_base"),
+        F.col("_id").alias(id_col), "n_words", sum(n_base, F.lit(0).cast("long")).alias("n_base"),
         F.least(*first).alias("first_word"), F.greatest(*last).alias("last_word"), joined(base_labels).alias("base_labels"),
         joined([*base_labels, *labels]).alias("labels"), F.greatest(F.lit(0.0), *shares).alias("score"))
 

@@ -167,7 +167,7 @@ def licensed_texts():
     shuffled = licenses.TEMPLATES[2].words
     r.shuffle(shuffled)
     texts += [" ".join(shuffled), "mit", "license mit", "cc by cc by CC-BY", "all rights reserved, all rights reserved", "cc  by", "ccby cc bye", "xcc by",
-              "ccé by cc byé", "GENERAL PUBLIC LICENKE general public license", "the gnu general public license", "", None, " \n", "日本 cc by",
+              "ccé by cc byé", "GENERAL PUBLIC LICENKE general public license", "the gnu general public license", "", None, " \n", "日本 cc by", "CC BY \u212a cc by", "\u212a", "GNU AFFERO İ general public l\u0130cense",
               "license " * 30_000 + "all rights reserved", "all rights all rights reserved", "mit license " * 2000, "cc by"] + ["All rights reserved."] * 3
     return texts
 
