@@ -72,20 +72,24 @@ TEMPLATES = [
 ]
 
 
-def padded(text: Column) -> Column:
-    """The words of a text, each between two spaces of its own; empty without a word.
+def bare(text: Column) -> Column:
+    """The words of a text with two spaces between them.
 
     ``lower`` also lowers letters beyond ASCII, which no phrase holds; the Kelvin sign, the one letter of which
     that would make an ASCII letter, is replaced by another letter first.
     """
     lowered = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u0138")))
-    bare = F.trim(F.regexp_replace(lowered, SEPARATORS, "  "))
-    return F.when(bare == "", "").otherwise(F.concat(F.lit(" "), bare, F.lit(" ")))
+    return F.trim(F.regexp_replace(lowered, SEPARATORS, "  "))
 
 
-def words_in(padded_text: Column) -> Column:
+def padded(bare_text: Column) -> Column:
+    """Each word between two spaces of its own; empty without a word."""
+    return F.when(bare_text == "", "").otherwise(F.concat(F.lit(" "), bare_text, F.lit(" ")))
+
+
+def words_in(bare_text: Column) -> Column:
     """The words as an array; null without a word."""
-    return F.when(padded_text != "", F.split(F.trim(padded_text), "  "))
+    return F.when(bare_text != "", F.split(bare_text, "  "))
 
 
 def pattern(phrase: str) -> str:
@@ -155,33 +159,36 @@ def scan(docs: DataFrame, templates: list[Template] | None = None, id_col: str =
     other columns are left out, an empty table gives an empty result.
     """
     templates = TEMPLATES if templates is None else templates
-    texts = docs.select(F.col(id_col).alias("_id"), padded(F.col(text_col)).alias("padded"))
-    ranked = by_rarity(texts.select(words_in(F.col("padded")).alias("words")), templates)
+    texts = docs.select(F.col(id_col).alias("_id"), bare(F.col(text_col)).alias("bare"))  # a step of its own: used more than once
+    ranked = by_rarity(texts.select(words_in(F.col("bare")).alias("words")), templates)
 
-    words = texts.withColumn("words", words_in(F.col("padded")))
+    words = texts.select("_id", padded(F.col("bare")).alias("padded"), words_in(F.col("bare")).alias("words"))
     held = words.withColumn("held", F.array_intersect(F.array(*map(F.lit, ranked)), F.col("words")))
 
     def there(phrase: str) -> Column:
         return F.contains("padded", F.lit(pattern(phrase)))
 
-    def accepted(t: Template) -> Column:
-        """``agree, of`` where the file holds every word of the key phrases, the places agree and the phrases stand there."""
+    def aligned(t: Template) -> Column:
+        """``agree, of`` where the file holds every word of the key phrases."""
         needed = sorted({w for p in t.phrases for w in p.split()})
-        candidate = F.size(F.array_intersect(F.array(*map(F.lit, needed)), F.col("held"))) == len(needed)
-        found = F.when(candidate, agreement(t, ranked))
-        verified = found["agree"] >= AGREE
+        return F.when(F.size(F.array_intersect(F.array(*map(F.lit, needed)), F.col("held"))) == len(needed), agreement(t, ranked))
+
+    def share(k: int, t: Template) -> Column:
+        """Share of the agreeing words, null where the template is not accepted."""
+        verified = F.col(f"t{k}.agree") >= AGREE
         for p in t.phrases:
             verified = verified & there(p)
-        return F.when(verified, found["agree"] / found["of"])
+        return F.when(verified, F.col(f"t{k}.agree") / F.col(f"t{k}.of"))
 
     found = held.select("_id", "padded", word_count(F.col("padded")).alias("n_words"), *[there(p).alias(f"b{k}") for k, p in enumerate(BASE_PHRASES)],
-                        *[accepted(t).alias(f"t{k}") for k, t in enumerate(templates)])
+                        *[aligned(t).alias(f"t{k}") for k, t in enumerate(templates)])
+    found = found.select("*", *[share(k, t).alias(f"s{k}") for k, t in enumerate(templates)])
     base = [(F.col(f"b{k}"), p, label) for k, (p, label) in enumerate(BASE_PHRASES.items())]
     n_base = [F.when(has, occurrences(F.col("padded"), pattern(p))).otherwise(0) for has, p, _ in base]
     first = [F.when(has, word_count(F.substring_index("padded", pattern(p), 1))) for has, p, _ in base]
     last = [F.when(has, F.col("n_words") - len(p.split()) - word_count(F.substring_index("padded", pattern(p), -1))) for has, p, _ in base]
     base_labels = [F.when(has, F.lit(label)) for has, _, label in base]
-    shares = [F.col(f"t{k}") for k in range(len(templates))]
+    shares = [F.col(f"s{k}") for k in range(len(templates))]
     labels = [F.when(s.isNotNull(), F.lit(t.label)) for t, s in zip(templates, shares)]
 
     def joined(of: list[Column]) -> Column:
