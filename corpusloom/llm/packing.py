@@ -23,41 +23,38 @@ from pyspark.sql.types import (
 )
 
 from corpusloom.llm.common import ready, store, tidy
-from corpusloom.llm.pieces import DEFAULT_TOKENIZER, Splitter, chunks, load_spec, tokenizer_path
+from corpusloom.llm.pieces import DEFAULT_TOKENIZER, Splitter, load_spec, printable_bytes, tokenizer_path
 
-CHUNK_CHARS = 2_000_000
 CACHE_PIECES = 400_000
 SLICE = 100_000  # items that one best-fit pass of round one holds at a time
 
 
-class PieceIds:
-    """Little-endian ids of a text, by the tokenizers library on its distinct pieces."""
+class PieceIds(dict):
+    """Little-endian ids of a text: its pieces one by one, each by the tokenizers library when it is first met.
+
+    A piece goes straight to the library's merge model, in the characters by which the vocabulary writes bytes:
+    the texts have been split already. The cache starts anew when it is full.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        self.model.no_padding()
-        self.model.no_truncation()
+        self.tokenizer = Tokenizer.from_file(path)  # keeps the model alive
+        self.merge = self.tokenizer.model.tokenize
         self.splitter = Splitter(load_spec(path))
-        self.cache: dict[str, bytes] = {}
-
-    def of(self, texts: list[str]) -> Iterator[bytes]:
-        for run in chunks(texts, CHUNK_CHARS):
-            split = [self.splitter.pieces(t) for t in run]
-            seen = set().union(*split)
-            new = seen.difference(self.cache)
-            if len(self.cache) + len(new) > CACHE_PIECES:
-                self.cache.clear()
-                new = seen
-            new = list(new)
-            for i in range(0, len(new), 50_000):
-                part = new[i:i + 50_000]
-                for p, e in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False)):
-                    ids = e.ids
-                    self.cache[p] = struct.pack(f"<{len(ids)}I", *ids)
-            for pieces in split:
-                yield b"".join(map(self.cache.__getitem__, pieces))
+        self.written = {b: c for c, b in printable_bytes().items()}
+
+    def __missing__(self, piece: str) -> bytes:
+        special = self.splitter.specials.get(piece)
+        ids = [special] if special is not None else [t.id for t in self.merge(piece.encode().decode("latin-1").translate(self.written))]
+        if len(self) >= CACHE_PIECES:
+            self.clear()
+        found = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+    def of(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.splitter.pieces(text)))
 
 
 @lru_cache(maxsize=2)
@@ -87,8 +84,8 @@ def tokenize_pieces(
         engine = piece_ids(tokenizer_path(tokenizer))
         for batch in batches:
             row, piece, start, length, crc, kept = [], [], [], [], [], []
-            for at, body in enumerate(engine.of([t or "" for t in batch.column(1).to_pylist()])):
-                raw = body + end
+            for at, text in enumerate(batch.column(1).to_pylist()):
+                raw = engine.of(text or "") + end
                 n = len(raw) // 4
                 first = n if n <= capacity else n % capacity or capacity
                 cuts = [0, *range(first, n + 1, capacity)]
@@ -110,7 +107,7 @@ def tokenize_pieces(
 def best_fit(sizes: Iterable[int], capacity: int) -> list[tuple[int, list[int]]]:
     """Bins ``(used, item numbers)`` by best fit, largest item first; bins with the least room come first.
 
-    Open bins stand in one list per amount of room; a bit mask over the amounts finds the tightest.
+    An item larger than the capacity is a bin of its own, one of size 0 goes anywhere. Open bins stand in one list per amount of room; a bit mask over the amounts finds the tightest.
     """
     sizes = list(sizes)
     bins: list[tuple[int, list[int]]] = []
@@ -118,6 +115,9 @@ def best_fit(sizes: Iterable[int], capacity: int) -> list[tuple[int, list[int]]]
     mask = 0
     for item in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
         size = sizes[item]
+        if size > capacity:
+            bins.append((size, [item]))
+            continue
         fitting = mask >> size
         if fitting:
             room = size + (fitting & -fitting).bit_length() - 1
@@ -142,8 +142,8 @@ def pack(
     """Every row of ``pieces`` with ``sequence_id`` and ``offset`` in a sequence of at most ``capacity``.
 
     ``slack``: a bin with no more room than that counts as nearly full. ``per_task``: items of
-    a task from the second round on. ``size_col`` must lie between 1 and
-    ``capacity``. Input columns stay (``sequence_id`` and ``offset`` are replaced if they clash). Sequence
+    a task from the second round on. A row with a null or negative ``size_col`` takes no room; one
+    larger than ``capacity`` is a sequence of its own, the only kind that is longer. Input columns stay (``sequence_id`` and ``offset`` are replaced if they clash). Sequence
     numbers are unique, not dense. An empty table gives an empty result.
     """
     spark = ready(pieces)
@@ -205,7 +205,7 @@ def pack(
         return run
 
     single = pieces.select(
-        F.col(size_col).cast("int").alias("used"),
+        F.greatest(F.coalesce(F.col(size_col).cast("int"), F.lit(0)), F.lit(0)).alias("used"),
         F.array(F.struct(*[F.col(f"`{c}`") for c in pieces.columns], F.lit(0).cast("long").alias("offset"))).alias("items"),
     )
     out: list[DataFrame] = []

@@ -114,3 +114,22 @@ def test_best_fit_is_never_over():
         bins = packing.best_fit(sizes, 30)
         assert sorted(i for _, members in bins for i in members) == list(range(len(sizes)))
         assert all(used == sum(sizes[i] for i in members) <= 30 for used, members in bins)
+
+
+def test_sizes_outside_the_capacity(spark):
+    sizes = [None, -5, 0, 10, 11, 1000, 10, 4, 6, None]
+    rows = packing.pack(spark.createDataFrame([Row(doc_id=i, length=n) for i, n in enumerate(sizes)]), capacity=10, slack=0).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(sizes)))
+    room = {}
+    for r in rows:
+        room.setdefault(r.sequence_id, []).append(max(r.length or 0, 0))
+    assert sorted(sum(b) for b in room.values() if sum(b)) == [10, 10, 10, 11, 1000]
+    assert all(len([x for x in b if x]) == 1 for b in room.values() if sum(b) > 10)
+
+
+def test_pieces_past_a_full_cache(library, monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_PIECES", 50)
+    engine = packing.PieceIds(tokenizer_path())
+    texts = [t or "" for t in ODD] + random_texts(300, 5)
+    assert [np.frombuffer(engine.of(t), "<u4").tolist() for t in texts] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(engine) <= 50
