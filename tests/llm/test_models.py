@@ -3,10 +3,12 @@
 import itertools
 import math
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 
 from corpusloom.llm import hmm, htmltext, langid, quality
 from corpusloom.llm.common import table
@@ -197,6 +199,35 @@ def test_scores_of_documents(spark, monkeypatch):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_scores_are_those_of_a_plain_forward_recursion(spark, monkeypatch):
+    """Words, classes, counts and the recursion once more, token by token, without blocks or batches."""
+    monkeypatch.setattr(hmm, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(hmm, "BLOCK_BYTES", 20_000)  # blocks are dealt out further
+    docs = table(spark, SF, "documents")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    rows, model = hmm.train(docs, states=3, rounds=1)
+    found = {r.doc_id: r for r in hmm.score(rows, model, "doc_id").collect()}
+    tokens = {i: [*(t or "").encode().lower().split(), b"\n"] for i, t in texts.items()}
+    c = Counter(w for i, t in tokens.items() if zlib.crc32(str(i).encode()) % 10 for w in t)
+    top = sorted((w for w in c if w != b"\n"), key=lambda w: -c[w])
+    assert len(model.own) == hmm.OWN_CLASSES and {xxhash.xxh64_intdigest(w) for w in top if c[w] > c[top[hmm.OWN_CLASSES - 1]]} <= set(model.own)
+    ends = lambda w: 0 if w == b"\n" else model.own.get(xxhash.xxh64_intdigest(w)) or hmm.OWN_CLASSES + 1 + zlib.crc32(w[-3:]) % hmm.END_CLASSES
+    mass, kinds = Counter(), Counter()
+    for w, n in c.items():
+        mass[ends(w)] += n
+        kinds[ends(w)] += 1
+    assert {k: (model.mass[k], model.kinds[k]) for k in mass} == {k: (mass[k], kinds[k]) for k in mass}
+    for i, t in tokens.items():
+        alpha, total = None, 0.0
+        for w in t:
+            k = ends(w)
+            alpha = [(model.start[b] if alpha is None else sum(a * model.move[j][b] for j, a in enumerate(alpha))) * model.emit[k][b] for b in range(3)]
+            total += math.log10(sum(alpha)) + (0 if k <= hmm.OWN_CLASSES else math.log10((c[w] + 0.1) / (mass[k] + 0.1 * (kinds[k] + 1))))
+            alpha = [a / sum(alpha) for a in alpha]
+        assert math.isclose(found[i].score, total, rel_tol=1e-9)
+    assert np.allclose(model.emit.sum(axis=0), 1) and np.allclose(model.move.sum(axis=1), 1)
+
+
 def test_scores_of_odd_rows(spark):
     rows = [(0, None), (1, ""), (2, "A\x0bb C d  É"), (None, "a b"), (4, LONG), (5, "a b"), (5, "a b"), (7, "unseen words")]
     found = hmm.language_model_scores(tiny(spark, [row(i, t) for i, t in rows])).collect()
