@@ -36,7 +36,7 @@ END = b"\n"  # the end token; no word contains white space
 PRIOR = 0.1  # additive smoothing of word counts
 WARM_DOCUMENTS, WARM_ROUNDS = 1500, 12  # bounded sample that places the states before the full passes
 FULL_ROUNDS = 2
-BLOCK_ROWS, BLOCK_BYTES = 4096, 32 << 20
+BLOCK_ROWS, BLOCK_BYTES = 4096, 16 << 20
 BATCH_TOKENS = 500_000
 
 
@@ -49,23 +49,6 @@ def ending_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % END_CLASSES
 
 
-class ClassOf(dict):
-    """Class of a word: 0 for the end, then own classes, then classes by ending."""
-
-    def __init__(self, own: dict[int, int]):
-        super().__init__({END: 0})
-        self.own = own
-
-    def __missing__(self, word: bytes) -> int:
-        c = self.own.get(xxhash.xxh64_intdigest(word))
-        c = 1 + OWN_CLASSES + ending_class(word) if c is None else c
-        if len(self) > 500_000:
-            self.clear()
-            self[END] = 0
-        self[word] = c
-        return c
-
-
 @dataclass
 class Model:
     """``own``: word hash to class; ``mass``: training tokens and ``kinds``: distinct words of a class."""
@@ -103,6 +86,13 @@ def forward(model: Model, classes: np.ndarray, starts: np.ndarray, sizes: np.nda
     return log_like
 
 
+def class_numbers(model: Model, names: list[bytes], hashes: np.ndarray) -> np.ndarray:
+    """Class of each distinct word: 0 for the end, then own classes, then classes by ending."""
+    own = model.own.get
+    return np.fromiter((0 if w == END else own(h) or 1 + OWN_CLASSES + ending_class(w) for w, h in zip(names, hashes.view(np.uint64).tolist())),
+                       np.int64, len(names))
+
+
 @dataclass
 class Counts:
     """Expected counts of Baum-Welch."""
@@ -277,6 +267,7 @@ def encoded(docs: DataFrame, counts: DataFrame, model: Model, id_col: str) -> Da
             tokens.append(END)
             texts.append(np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens)))
         names = list(number)
+        number.clear()
         known = counts_of["word"].to_numpy()
         order = np.argsort(known)
         hashes = hashes_of(names)
@@ -284,7 +275,7 @@ def encoded(docs: DataFrame, counts: DataFrame, model: Model, id_col: str) -> Da
         c = np.zeros(len(names))
         if len(known):
             c = np.where(known[order[at]] == hashes, counts_of["c"].to_numpy()[order[at]], 0).astype(np.float64)
-        classes = np.fromiter(map(ClassOf(m.own).__getitem__, names), np.int64, len(names))
+        classes = class_numbers(m, names, hashes)
         base = np.log10((c + PRIOR) / (m.tokens + PRIOR * (m.vocabulary + 1)))
         # a class of one word emits nothing else; a shared class keeps room for one unknown word
         inner = np.where(classes <= OWN_CLASSES, 0.0, np.log10((c + PRIOR) / (m.mass[classes] + PRIOR * (m.kinds[classes] + 1))))
