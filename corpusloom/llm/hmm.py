@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
-from corpusloom.llm.common import id_bucket, ready, store, tidy, with_position
+from corpusloom.llm.common import give_back, id_bucket, ready, store, tidy, with_position
 from corpusloom.operators.joins import join_small
 
 STATES = 8
@@ -265,7 +265,7 @@ def encoded(docs: DataFrame, counts: DataFrame, model: Model, id_col: str) -> Da
         for text in docs_of["_text"].to_pylist():
             tokens = words(text)
             tokens.append(END)
-            texts.append(np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens)))
+            texts.append(np.fromiter(map(number.__getitem__, tokens), np.int32, len(tokens)))
         names = list(number)
         number.clear()
         known = counts_of["word"].to_numpy()
@@ -276,13 +276,16 @@ def encoded(docs: DataFrame, counts: DataFrame, model: Model, id_col: str) -> Da
         if len(known):
             c = np.where(known[order[at]] == hashes, counts_of["c"].to_numpy()[order[at]], 0).astype(np.float64)
         classes = class_numbers(m, names, hashes)
+        names.clear()
         base = np.log10((c + PRIOR) / (m.tokens + PRIOR * (m.vocabulary + 1)))
         # a class of one word emits nothing else; a shared class keeps room for one unknown word
         inner = np.where(classes <= OWN_CLASSES, 0.0, np.log10((c + PRIOR) / (m.mass[classes] + PRIOR * (m.kinds[classes] + 1))))
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         flat, starts = np.concatenate(texts), np.cumsum(sizes) - sizes
+        texts.clear()
         wide = classes.astype("<u2")[flat]
-        raw = pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(np.append(starts, len(flat)).astype("<i4") * 2), pa.py_buffer(wide)])
+        give_back()  # the names, before the sums
+        raw = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.append(starts, len(flat)).astype("<i4") * 2), pa.py_buffer(wide)])
         return pa.Table.from_arrays([
             docs_of[id_col].combine_chunks(), docs_of["_train"].combine_chunks(), docs_of["_key"].combine_chunks(), pa.array(sizes),
             pa.array(np.add.reduceat((c > 0)[flat].astype(np.int64), starts)), pa.array(np.add.reduceat(base[flat], starts)),
