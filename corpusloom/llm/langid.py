@@ -82,37 +82,47 @@ def features(text: str) -> np.ndarray | None:
     return v / np.linalg.norm(v)
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, c: float = 10.0, epochs: int = 60) -> np.ndarray:
-    """Weights and bias of a hinge-loss machine by dual coordinate descent over the Gram matrix; y is +1 or -1."""
-    n = len(y)
-    q = (x @ x.T + 1.0) * np.outer(y, y)
-    alpha, grad = np.zeros(n), -np.ones(n)
+Sparse = tuple[np.ndarray, np.ndarray]  # cells and values of one text's features
+
+
+def linear_svm(rows: list[Sparse], y: np.ndarray, c: float = 10.0, epochs: int = 60, dimensions: int = DIMENSIONS) -> np.ndarray:
+    """Weights and bias of a hinge-loss machine by dual coordinate descent; y is +1 or -1.
+
+    Only the weights are kept up to date: memory grows with the features of the rows, not with pairs of rows. The bias
+    is the weight of a feature that every row has.
+    """
+    w = np.zeros(dimensions + 1)
+    full = [(np.append(cells, dimensions), np.append(values, 1.0)) for cells, values in rows]
+    norms = [float(v @ v) for _, v in full]
+    alpha = [0.0] * len(full)
     order = np.random.default_rng(0)
     for _ in range(epochs):
         moved = 0.0
-        for i in order.permutation(n).tolist():
-            new = min(max(alpha[i] - grad[i] / q[i, i], 0.0), c)
+        for i in order.permutation(len(full)).tolist():
+            cells, values = full[i]
+            gradient = y[i] * (w[cells] @ values) - 1.0
+            new = min(max(alpha[i] - gradient / norms[i], 0.0), c)
             step = new - alpha[i]
             if abs(step) > 1e-12:
-                grad += step * q[i]
+                w[cells] += step * y[i] * values
                 alpha[i] = new
                 moved = max(moved, abs(step))
         if moved < 1e-4:
             break
-    return np.append(x.T @ (alpha * y), (alpha * y).sum()).astype(np.float32)
+    return w.astype(np.float32)
 
 
 class OneVersusOne:
     """Votes of pairwise machines; ties go to the larger sum of margins, then to the first class."""
 
-    def __init__(self, x: np.ndarray, y: list[str]):
+    def __init__(self, rows: list[Sparse], y: list[str]):
         self.classes = sorted(set(y))
         self.pairs = list(combinations(range(len(self.classes)), 2))
         labels = np.array([self.classes.index(v) for v in y])
         weights = []
         for i, j in self.pairs:
-            rows = np.flatnonzero((labels == i) | (labels == j))
-            weights.append(linear_svm(x[rows], np.where(labels[rows] == i, 1.0, -1.0)))
+            at = np.flatnonzero((labels == i) | (labels == j)).tolist()
+            weights.append(linear_svm([rows[k] for k in at], np.where(labels[at] == i, 1.0, -1.0)))
         self.weights = np.array(weights, np.float32).reshape(len(self.pairs), DIMENSIONS + 1)
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -136,13 +146,13 @@ class OneVersusOne:
 class Hierarchy:
     """Families, then the languages of the family that won."""
 
-    def __init__(self, x: np.ndarray, langs: list[str]):
+    def __init__(self, rows: list[Sparse], langs: list[str]):
         families = [family_of(v) for v in langs]
-        self.top = OneVersusOne(x, families)
+        self.top = OneVersusOne(rows, families)
         self.within = {}
         for f in self.top.classes:
-            rows = [i for i, g in enumerate(families) if g == f]
-            self.within[f] = OneVersusOne(x[rows], [langs[i] for i in rows])
+            at = [i for i, g in enumerate(families) if g == f]
+            self.within[f] = OneVersusOne([rows[i] for i in at], [langs[i] for i in at])
 
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         family, score = self.top.predict(x)
@@ -178,7 +188,7 @@ def fit(
 ) -> Hierarchy | None:
     """Train on at most about ``per_language`` texts of each language; None if no labelled text has a letter.
 
-    Sparse features come from the tasks; the driver holds the bounded sample's features only.
+    Sparse features come from the tasks; the driver holds those of the bounded sample and one machine's weights.
     """
     spark = ready(docs)
     sample = training_sample(docs, F.lit(True) if trainable is None else trainable, per_language, id_col, text_col, lang_col)
@@ -199,10 +209,8 @@ def fit(
     rows = sorted(map(tuple, sample.mapInArrow(tidy(run), "lang string, cells binary, values binary").collect()))
     if not rows:
         return None
-    x = np.zeros((len(rows), DIMENSIONS), np.float32)
-    for i, (_, cells, values) in enumerate(rows):
-        x[i, np.frombuffer(cells, "<u2")] = np.frombuffer(values, "<f4")
-    return Hierarchy(x, [r[0] for r in rows])
+    sparse = [(np.frombuffer(cells, "<u2").astype(np.int64), np.frombuffer(values, "<f4").astype(np.float64)) for _, cells, values in rows]
+    return Hierarchy(sparse, [r[0] for r in rows])
 
 
 def predict(

@@ -135,6 +135,47 @@ def test_quality_edge_cases(spark):
     assert quality.classify(tiny(spark, []), labels).count() == 0
 
 
+def test_machines_solve_their_problem():
+    """At the optimum of a support vector machine the primal and the dual value meet; the best of many random directions is worse."""
+    g = np.random.default_rng(5)
+    rows, dense = [], np.zeros((60, 40))
+    for k in range(60):
+        cells = np.sort(g.choice(40, 9, replace=False))
+        values = g.random(9)
+        rows.append((cells, values))
+        dense[k, cells] = values
+    y = np.where(dense @ g.standard_normal(40) + 0.3 * g.standard_normal(60) > 0, 1.0, -1.0)
+    c = 2.0
+    w = langid.linear_svm(rows, y, c, epochs=4000, dimensions=40).astype(np.float64)
+    x = np.hstack([dense, np.ones((60, 1))])
+    value = lambda v: 0.5 * v @ v + c * np.maximum(0, 1 - y * (x @ v)).sum()
+    q = (x @ x.T) * np.outer(y, y)  # projected gradient ascent of the dual
+    alpha = np.zeros(60)
+    for _ in range(40_000):
+        alpha = np.clip(alpha + (1 - q @ alpha) / np.linalg.norm(q, 2), 0, c)
+    dual = alpha.sum() - 0.5 * alpha @ q @ alpha
+    assert math.isclose(value(w), dual, rel_tol=2e-3) and np.allclose(w, x.T @ (alpha * y), atol=2e-2)
+    assert all(value(w + 0.1 * g.standard_normal(41)) > value(w) for _ in range(200))
+
+
+def test_votes_of_three_languages_are_those_of_their_machines():
+    g = np.random.default_rng(6)
+    rows = [(np.array([k % 3, 3 + k % 5]), np.array([0.9, 0.1 + 0.01 * k])) for k in range(30)]
+    model = langid.OneVersusOne(rows, [("a", "b", "c")[k % 3] for k in range(30)])
+    x = np.zeros((50, langid.DIMENSIONS), np.float32)
+    x[:, :8] = g.random((50, 8))
+    won, score = model.predict(x)
+    for row, k, s in zip(x, won, score):
+        votes, sums, trust = [0] * 3, [0.0] * 3, [0.0] * 3
+        for (i, j), w in zip(model.pairs, model.weights):
+            margin = float(row @ w[:-1] + w[-1])
+            votes[i if margin >= 0 else j] += 1
+            sums[i], sums[j] = sums[i] + margin, sums[j] - margin
+            sure = 1 / (1 + math.exp(-4 * margin))
+            trust[i], trust[j] = trust[i] + sure, trust[j] + 1 - sure
+        assert k == max(range(3), key=lambda c: (votes[c], sums[c])) and math.isclose(s, trust[k] / 2, rel_tol=1e-5)
+
+
 # --- hidden Markov model ----------------------------------------------------------------------
 
 
