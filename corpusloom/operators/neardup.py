@@ -1,42 +1,27 @@
 """Near duplicates among instructions or other texts, by MinHash bands and exact verification.
 
-Shingles, hashes, signatures and bands are built-in expressions. Bands only name groups of candidates;
-inside a group all pairs are verified in tiles, so no bucket is capped and no list of pairs is written.
+Shingles, hashes, signatures and bands are built-in expressions. A band names a list of sets that may be similar; the
+lists are compared as those of the exact join are: members with a hub first, then, in tiles, only pairs that are not
+connected yet. Sets that merely share bands are never united, so a common passage joins nothing.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators import tiles
-from corpusloom.operators.components import connected_components
-from corpusloom.session import scratch_path
+from corpusloom.operators.setjoin import THRESHOLD, WORDS, named_groups, similar_sets, text_sets
 
-WORDS, THRESHOLD = 5, 0.8
 BANDS, ROWS = 32, 4  # a pair at the threshold shares no band with probability 5e-8
 
 
-def word_shingles(text: Column | str, words: int = WORDS) -> Column:
-    """Distinct 64-bit hashes of the runs of ``words`` lower-case words; a shorter text is one run."""
-    c = F.col(text) if isinstance(text, str) else text
-    split = F.filter(F.split(F.lower(c), r"\s+"), lambda w: w != "")
-
-    def runs(w: Column) -> Column:
-        last = F.greatest(F.size(w) - F.lit(words), F.lit(0))
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, words), " ")))
-
-    # the outer lambda binds the words once; spelled out, the text would be split again for every run
-    hashed = F.transform(F.array(split), lambda w: F.when(F.size(w) > 0, F.array_distinct(runs(w))))
-    return F.when(c.isNotNull(), hashed[0])
-
-
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def band_lists(sets: DataFrame) -> DataFrame:
+    """``_token, _id, _n, _pos, _before`` of every band of every set, without bounds."""
+    # one row per shingle meets all hash functions in one generated aggregation
+    signed = sets.select("_id", "_n", F.explode("_set").alias("_s")).groupBy("_id", "_n").agg(
+        *[F.min(F.xxhash64("_s", F.lit(k))).alias(f"h{k}") for k in range(BANDS * ROWS)])
+    bands = F.array(*[F.xxhash64(F.lit(b), *[f"h{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
+    return signed.select(F.explode(bands).alias("_token"), "_id", "_n", F.lit(0).alias("_pos"), F.array().cast("array<long>").alias("_before"))
 
 
 def near_duplicate_groups(df: DataFrame, text_col: str = "text", id_col: str = "id", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
@@ -45,38 +30,8 @@ def near_duplicate_groups(df: DataFrame, text_col: str = "text", id_col: str = "
 
     Null and blank texts are groups of their own. Equal shingle sets are compared once.
     """
-    rows = df.select(F.col(id_col).alias("_key"), F.array_sort(word_shingles(text_col, words)).alias("_set"))
-    keyed = _stored(rows.select("_key", "_set", F.when(F.col("_set").isNotNull(), F.xxhash64("_set")).alias("_id")), "shingles")
-    sets = keyed.where("_id is not null").groupBy("_id").agg(F.first("_set").alias("_set"))
-    # one row per shingle meets all hash functions in one generated aggregation
-    seeds = range(BANDS * ROWS)
-    signed = sets.select("_id", F.explode("_set").alias("_s")).groupBy("_id").agg(*[F.min(F.xxhash64("_s", F.lit(k))).alias(f"h{k}") for k in seeds])
-    bands = F.array(*[F.xxhash64(F.lit(b), *[f"h{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
-    banded = _stored(signed.select("_id", F.explode(bands).alias("_band")), "bands")
-    hubs = banded.groupBy("_band").agg(F.min("_id").alias("_hub"), F.max("_id").alias("_last")).where("_hub <> _last").select("_band", "_hub")
-    near = banded.join(hubs, "_band").where("_id <> _hub").select("_id", "_hub")
-    candidates = connected_components(near, "_id", "_hub").withColumnsRenamed({"id": "_id", "component": "_group"})
-
-    def verify(tile: pa.Table) -> pa.RecordBatch:
-        ids, block = tile["_id"].to_numpy(), tile["_block"].to_numpy()
-        found = [np.array(s, np.int64) for s in tile["_set"].to_pylist()]
-        pairs = np.triu(np.ones((len(ids), len(ids)), bool), 1)
-        if tile["_i"][0].as_py() != tile["_j"][0].as_py():
-            pairs &= block[:, None] != block[None, :]
-        i, j = np.nonzero(pairs)
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        common = tiles.intersections(found, i, j)
-        good = common / (sizes[i] + sizes[j] - common) >= threshold
-        linked = np.zeros_like(pairs)
-        linked[i[good], j[good]] = linked[j[good], i[good]] = True
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids[tiles.roots(linked)])], ["_id", "_root"])
-
-    members = candidates.join(sets, "_id").withColumn("_size", F.size("_set"))
-    links = _stored(tiles.run_tiles(tiles.spread(members, "_size"), ["_id", "_set"], verify, "_id long, _root long"), "links")
-    groups = connected_components(links, "_id", "_root").withColumnsRenamed({"id": "_id", "component": "_group"})
-    named = keyed.select("_key", "_id").join(groups, "_id", "left").withColumn("_group", F.coalesce("_group", "_id"))
-    least = named.where("_group is not null").groupBy("_group").agg(F.min("_key").alias("group_id"))
-    return named.join(least, "_group", "left").select(F.col("_key").alias(id_col), F.coalesce("group_id", "_key").alias("group_id"))
+    rows, sets = text_sets(df, text_col, id_col, words)
+    return named_groups(rows, similar_sets(sets, threshold, band_lists(sets)).groups, id_col)
 
 
 def near_dedup_minhash(df: DataFrame, text_col: str = "text", id_col: str = "id", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusloom.operators import mixing, neardup, pairs, sampling
+from corpusloom.operators import mixing, neardup, pairs, sampling, setjoin
 from querybook.fixtures import chat_fx, corpus_fx, sql, table
 from querybook.registry import query
 
@@ -26,6 +26,11 @@ def _(spark, sf):
     return neardup.near_duplicate_groups(table(spark, sf, "documents"), id_col="doc_id")
 
 
+@query("near_dedup_exact", _NEAR)
+def _(spark, sf):
+    return setjoin.similar_text_groups(table(spark, sf, "documents"), id_col="doc_id")
+
+
 # A pair per document: the first line instructs, the text answers; some copy their seed or ask for nothing.
 _PAIR = """SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN 'Write some code!' WHEN 1 THEN 'Help me ' ELSE left(text, 30 + CAST(doc_id % 11 AS INTEGER) * 4) END AS instruction,
   CASE WHEN doc_id % 5 = 0 THEN concat('  ', replace(text, ' ', '   ')) WHEN doc_id % 5 = 1 THEN left(text, CAST(doc_id % 90 AS INTEGER)) ELSE concat(text, ' more') END AS response FROM documents"""
