@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.keys import repo_key
@@ -11,7 +11,7 @@ from corpusloom.operators.dedup import dedup_across_chunks
 from corpusloom.session import scratch_path
 from corpusloom.sources.jsonl import append_records
 from corpusloom.sources.parquet import raw_snapshot
-from corpusloom.sources.registry_json import parse_package_items, parse_repo_items
+from corpusloom.sources.registry_json import page_items, parse_package_items, parse_repo_items, read_pages
 from corpusloom.sources.trees import extract_files
 
 
@@ -22,6 +22,14 @@ def discover_repos(search_items: DataFrame, package_items: DataFrame) -> DataFra
     return registry.enrich_repos(repos.drop("chunk_seq", "item_seq"), parse_package_items(package_items))
 
 
+def discover_saved(spark: SparkSession, search_pages: str | list[str], package_pages: str | list[str]) -> DataFrame:
+    """:func:`discover_repos` from folders of saved pages: search pages hold ``items``, package pages are bare arrays. A page
+    is a query slice; packages are read in the order of their pages."""
+    found = page_items(read_pages(spark, search_pages)).withColumnRenamed("page_seq", "chunk_seq")
+    packages = page_items(read_pages(spark, package_pages, "$"))
+    return discover_repos(found, packages.withColumn("seq", F.struct("page_seq", "item_seq")))
+
+
 def repos_to_process(repos: DataFrame, state: DataFrame, skip_non_permissive: bool = True,
                      done_statuses: list[str] | None = None, force: bool = False) -> DataFrame:
     """The cheap repository filters come before any file is read."""

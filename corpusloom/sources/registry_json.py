@@ -2,16 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
+from corpusloom.functions.text import decode_utf8
+from corpusloom.operators.ranking import global_row_number
 
 # Fixed values: "no usable license" marker and the host that package links point at.
 NO_LICENSE = "NOASSERTION"
 HOST = "github.com/"
 
 
+def read_pages(spark: SparkSession, path: str | list[str], at: str = "$.items") -> DataFrame:
+    """``page, page_seq, body, entries`` of every saved result page, one JSON file each.
+
+    ``entries`` is the array at ``at`` (``$`` where a page is a bare array) as a variant, null if the page is broken, null or
+    blank, or has something else there. ``page_seq`` counts pages in the order of their paths, from 0. Spark lists no file
+    without a byte, and none whose name begins with ``.`` or ``_``: they are no pages.
+    """
+    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("page"), decode_utf8("content").alias("body"))
+    paths = files.select("page")
+    places = global_row_number(paths, [F.col("page")], "page_seq").withColumn("page_seq", F.col("page_seq") - 1)
+    there = F.try_variant_get(F.try_parse_json("body"), at, "variant")
+    return files.join(places, "page").select("page", "page_seq", "body", F.when(F.schema_of_variant(there).startswith("ARRAY"), there).alias("entries"))
+
+
+def page_items(pages: DataFrame, seq: str = "page_seq") -> DataFrame:
+    """``page, page_seq, item_seq, item``: one row per entry of :func:`read_pages`, its JSON text in ``item``; null entries,
+    and pages without entries, give none."""
+    exploded = pages.lateralJoin(pages.sparkSession.tvf.variant_explode(F.col("entries").outer()))
+    return exploded.where("not is_variant_null(value)").select("page", seq, F.col("pos").cast("long").alias("item_seq"), F.to_json("value").alias("item"))
+
+
+def page_report(pages: DataFrame) -> DataFrame:
+    """``page, items, problem`` of every page: how many entries it has, and why it has none (``empty``, ``broken``,
+    ``no items``), null if it has an array."""
+    body = F.trim(F.coalesce("body", F.lit("")), F.lit(" \t\r\n"))
+    problem = (F.when(F.col("entries").isNotNull(), None).when(body == "", "empty").when(F.try_parse_json("body").isNull(), "broken").otherwise("no items"))
+    size = F.size(F.try_variant_get("entries", "$", "array<variant>"))
+    return pages.select("page", F.when(F.col("entries").isNull(), 0).otherwise(size).alias("items"), problem.alias("problem"))
+
+
 def parse_repo_items(df: DataFrame, json_col: str = "item", keep: list[str] | None = None) -> DataFrame:
     """One search item per row to one repository per row; ``keep`` passes other columns through."""
     item = df.select(*(keep or []), F.from_json(json_col, schemas.SEARCH_ITEM).alias("i"))
