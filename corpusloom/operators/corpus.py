@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text
@@ -12,6 +14,7 @@ from corpusloom.operators import filters
 from corpusloom.operators.dedup import dedup_content, first_per_key
 
 Rule = tuple[str, Column]
+DEDUP_STEP = "dedup_content"
 
 
 def with_license(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -57,6 +60,43 @@ def first_failed(rules: list[Rule]) -> Column:
     return failed
 
 
+@dataclass
+class ObservedFunnel:
+    """``kept`` and, once it has been written or collected, the funnel's counts from that same pass."""
+
+    kept: DataFrame
+    names: list[str]
+    scanned: Observation
+    result: Observation
+
+    def report(self) -> DataFrame:
+        """Rows as those of :func:`funnel_report`. Waits for the first action on ``kept``."""
+        counts, rows = self.scanned.get, []
+        before = counts["total"]
+        for i, name in enumerate(self.names):
+            removed = self.result.get["kept"] if name == DEDUP_STEP else counts[f"r{i}"]
+            removed = before - removed if name == DEDUP_STEP else removed
+            rows.append((i + 1, name, before, removed, before - removed))
+            before -= removed
+        return self.kept.sparkSession.createDataFrame(rows, "step int, step_name string, before long, removed long, after long")
+
+
+def observed_funnel(df: DataFrame, rules: list[Rule] | None = None, deduplicate: bool = True, **bounds) -> ObservedFunnel:
+    """:func:`filter_corpus` with its counts taken on the way: metrics of the rows that the job reads anyway.
+
+    Every row's first failing rule decides, so a single filter follows; what the rules leave is counted again behind the
+    deduplication. An action on ``kept`` must run before the report, once.
+    """
+    rules = corpus_rules(**bounds) if rules is None else rules
+    scanned, result = Observation(), Observation()
+    tagged = df.withColumn("_failed", first_failed(rules)).observe(
+        scanned, F.count(F.lit(1)).alias("total"), *[F.count_if(F.col("_failed") == i).alias(f"r{i}") for i in range(len(rules))])
+    kept = tagged.where("_failed is null").drop("_failed")
+    if deduplicate:
+        kept = dedup_content(kept)
+    return ObservedFunnel(kept.observe(result, F.count(F.lit(1)).alias("kept")), [name for name, _ in rules] + [DEDUP_STEP] * deduplicate, scanned, result)
+
+
 def funnel_report(df: DataFrame, rules: list[Rule] | None = None, deduplicate: bool = True, **bounds) -> DataFrame:
     """Rows ``(step, step_name, before, removed, after)`` from one scan.
 
@@ -79,7 +119,7 @@ def funnel_report(df: DataFrame, rules: list[Rule] | None = None, deduplicate: b
         steps.append((name, before, removed))
         before = before - removed
     if deduplicate:
-        steps.append(("dedup_content", before, before - F.col("distinct_kept")))
+        steps.append((DEDUP_STEP, before, before - F.col("distinct_kept")))
     rows = [
         F.struct(
             F.lit(i).alias("step"), F.lit(name).alias("step_name"), start.alias("before"),

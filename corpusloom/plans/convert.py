@@ -37,23 +37,20 @@ def convert_corpus(
 ) -> Conversion:
     """Read, snapshot, filter, write and split.
 
-    The two written tables (raw and filtered) also cut the lineage: JSON is parsed once, the funnel
-    runs once, and the subsets and reports read columns of the stored corpus.
+    The two written tables (raw and filtered) also cut the lineage: JSON is parsed once, the raw table is
+    scanned once, with the funnel's counts taken in that pass, and the subsets and reports read columns
+    of the stored corpus.
     """
     root = out.rstrip("/")
     raw = parquet.raw_snapshot(jsonl.read_jsonl(spark, jsonl_path, schemas.CORPUS_FILE).drop(schemas.CORRUPT), f"{root}/raw")
-    funnel = None
-    kept = raw
-    if not skip_filters:
-        kept = corpus.filter_corpus(raw, rules, deduplicate, **bounds)
-        funnel = corpus.funnel_report(raw, rules, deduplicate, **bounds)
-    stored = parquet.raw_snapshot(kept, f"{root}/corpus")
+    observed = None if skip_filters else corpus.observed_funnel(raw, rules, deduplicate, **bounds)
+    stored = parquet.raw_snapshot(observed.kept if observed else raw, f"{root}/corpus")
     return Conversion(
         raw_path=f"{root}/raw",
         corpus_path=f"{root}/corpus",
         config_paths=parquet.split_configs(stored, f"{root}/configs"),
         corpus=stored,
-        funnel=funnel,
+        funnel=observed.report() if observed else None,
         checks=corpus.validate_corpus(stored),
         summary=corpus.corpus_summary(stored),
         licenses=corpus.license_distribution(stored),
