@@ -1,9 +1,10 @@
 """N-gram Jaccard self join with Bayesian pruning of candidates.
 
-MinHash bands propose groups; within a group, MinHash values of each pair are compared a few at a time, and
-the pair is dropped as soon as the posterior probability that it reaches the threshold falls below a
-tolerance. What is left is verified exactly on the shingle sets. Pairs are counted inside tiles: the output
-has one row per document, and no list of pairs exists anywhere.
+MinHash bands propose pairs. MinHash values of a pair are compared a few at a time, and it is dropped as soon as the
+posterior probability that it reaches the threshold falls below a tolerance. What is left is verified exactly on the
+shingle sets. Members of a band meet its hub first; only bands that then still hold unconnected members are compared
+pair by pair, so that texts which merely share bands are never united. The links of the verified groups are counted
+inside tiles: the output has one row per document, and no list of all pairs exists anywhere.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.common import ready, store, tidy
@@ -26,7 +27,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 40, 6  # a pair at 0.8 shares no band with probability 5e-6, one at 0.3 shares one with 0.03
 STEP, STEPS = 32, 5  # values compared at a time, and how often
 TOLERANCE = 1e-6  # posterior probability below which a pair is dropped
-BROADCAST_IDS = 1_000_000  # 8 MB of ids
+BROADCAST_IDS = 500_000  # ids with digests, about 20 MB
 CHUNK = 16_384  # shingles hashed at a time
 
 
@@ -111,14 +112,20 @@ def fewest_matches(n: int, threshold: float, tolerance: float) -> int:
     return m
 
 
-def survivors(left: np.ndarray, right: np.ndarray, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs whose MinHash values never fall below the bound, compared step by step."""
+def survivors(left: np.ndarray, right: np.ndarray, threshold: float, tolerance: float, allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Row pairs (the ``allowed`` ones) whose MinHash values never fall below the bound, compared step by step."""
     equal = np.zeros((len(left), len(right)), np.int16)
     for k in range(STEP):
         equal += left[:, k][:, None] == right[:, k][None, :]
-    i, j = np.nonzero(equal >= fewest_matches(STEP, threshold, tolerance))
-    m = equal[i, j].astype(np.int64)
-    for s in range(1, STEPS):
+    enough = equal >= fewest_matches(STEP, threshold, tolerance)
+    i, j = np.nonzero(enough if allowed is None else enough & allowed)
+    return later_steps(left, right, i, j, equal[i, j].astype(np.int64), 1, threshold, tolerance)
+
+
+def later_steps(left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, m: np.ndarray, first: int, threshold: float,
+                tolerance: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs ``(i, j)`` with ``m`` equal values so far, those that stay above the bound from step ``first`` on."""
+    for s in range(first, STEPS):
         part = slice(s * STEP, (s + 1) * STEP)
         keep = np.zeros(len(i), bool)
         for a in range(0, len(i), 100_000):
@@ -129,26 +136,44 @@ def survivors(left: np.ndarray, right: np.ndarray, threshold: float, tolerance:
     return i, j
 
 
+def values_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """MinHash values, a row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, STEP * STEPS)
+
+
+def linked_pairs(batch: pa.RecordBatch, threshold: float, tolerance: float) -> np.ndarray:
+    """Rows of pairs (``_va, _vb, _sa, _sb``) that are links."""
+    left, right = values_of(batch["_va"]), values_of(batch["_vb"])
+    at = np.arange(batch.num_rows)
+    at, _ = later_steps(left, right, at, at, np.zeros(len(at), np.int64), 0, threshold, tolerance)
+    good = []
+    for k in at.tolist():
+        a, b = (np.frombuffer(batch[c][k].as_buffer(), "<u8") for c in ("_sa", "_sb"))
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        good.append(common / (len(a) + len(b) - common) >= threshold)
+    return at[np.array(good, bool)]
+
+
 def link_tile(tile: pa.Table, threshold: float, tolerance: float) -> pa.RecordBatch:
-    """``_id, links, root`` for the members of one tile."""
-    _, first = np.unique(tile["_id"].to_numpy(), return_index=True)  # repeated rows
+    """``_id, links, root`` for the members of one tile; pairs with the same ``_label`` are passed over where there is one."""
+    names = tile["_id"].to_pylist()
+    first = sorted({n: k for k, n in enumerate(names)}.values())  # repeated rows
     tile = tile.take(pa.array(first))
-    ids = tile["_id"].to_numpy()
-    block = tile["_block"].to_numpy()
-    weight = tile["_copies"].to_numpy()
-    sets = [np.frombuffer(b, "<u8") for b in tile["_set"].to_pylist()]
     across = tile["_i"][0].as_py() != tile["_j"][0].as_py()
-    order = np.argsort(block, kind="stable") if across else np.arange(len(ids))
-    ids, block, weight, sets = ids[order], block[order], weight[order], [sets[k] for k in order]
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    values = minhashes(sets, STEP * STEPS, seed=2)
+    block = tile["_block"].to_numpy()
     if across:
-        cut = int((block == block[0]).sum())
-        i, j = survivors(values[:cut], values[cut:], threshold, tolerance)
-        j = j + cut
-    else:
-        i, j = survivors(values, values, threshold, tolerance)
-        i, j = i[i < j], j[i < j]
+        tile = tile.take(pa.array(np.argsort(block, kind="stable")))
+        block = tile["_block"].to_numpy()
+    ids, weight, values = tile["_id"].to_pylist(), tile["_copies"].to_numpy(), values_of(tile["_values"])
+    sizes = np.fromiter((len(b) // 8 for b in tile["_set"].to_pylist()), np.int64, len(ids))
+    cut = int((block == block[0]).sum()) if across else 0
+    allowed = np.ones((cut, len(ids) - cut), bool) if across else np.triu(np.ones((len(ids), len(ids)), bool), 1)
+    if "_label" in tile.column_names:
+        label = np.unique(tile["_label"].to_pylist(), return_inverse=True)[1]
+        allowed &= label[:cut or None][:, None] != label[cut:][None, :]
+    i, j = survivors(values[:cut or None], values[cut:], threshold, tolerance, allowed)
+    j = j + cut
+    sets = [np.frombuffer(b, "<u8") for b in tile["_set"].to_pylist()]
     common = tiles.intersections(sets, i, j)
     good = common / np.maximum(sizes[i] + sizes[j] - common, 1) >= threshold
     i, j = i[good], j[good]
@@ -157,7 +182,7 @@ def link_tile(tile: pa.Table, threshold: float, tolerance: float) -> pa.RecordBa
     np.add.at(links, j, weight[i])
     linked = np.zeros((len(ids), len(ids)), bool)
     linked[i, j] = linked[j, i] = True
-    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array(ids[tiles.roots(linked)])], ["_id", "links", "root"])
+    return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(links), pa.array([ids[r] for r in tiles.roots(linked)], pa.binary())], ["_id", "links", "root"])
 
 
 def digest_of(words: list[str]) -> bytes:
@@ -165,30 +190,56 @@ def digest_of(words: list[str]) -> bytes:
 
 
 def shingle_sets(rows: DataFrame) -> DataFrame:
-    """Members with ``_set``, the sorted distinct shingle hashes of ``_text``.
+    """Members with ``_set``, the sorted distinct shingle hashes of ``_text``, and ``_values``, their MinHash values.
 
     An id may stand on rows with other texts: only the text that has the member's digest counts.
     """
-    columns = ["_member", "_group", "_copies", "_size"]
+    columns = ["_member", "_copies", "_size"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
         for batch in batches:
             keep, sets = [], []
-            for k, (text, digest) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())):
+            for k, (text, digest) in enumerate(zip(batch.column(3).to_pylist(), batch.column(0).to_pylist())):
                 words = (text or "").lower().split()
                 if words and digest_of(words) == digest:
                     keep.append(k)
-                    sets.append(np.unique(shingles(words, hashes)).tobytes())
+                    sets.append(np.unique(shingles(words, hashes)))
             chosen = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(chosen.column(k) for k in range(4)), pa.array(sets, pa.binary())], [*columns, "_set"])
+            values = minhashes(sets, STEP * STEPS, seed=2).astype("<u4") if sets else []
+            yield pa.RecordBatch.from_arrays([*(chosen.column(k) for k in range(3)), pa.array([x.tobytes() for x in sets], pa.binary()),
+                                              pa.array([v.tobytes() for v in values], pa.binary())], [*columns, "_set", "_values"])
+
+    return rows.select(*columns, "_text").mapInArrow(tidy(run), "_member binary, _copies long, _size long, _set binary, _values binary")
 
-    return rows.select(*columns, "_text", "_digest").mapInArrow(tidy(run), "_member long, _group long, _copies long, _size long, _set binary")
+
+def verified_links(banded: DataFrame, near: DataFrame, sets: DataFrame, threshold: float, tolerance: float) -> DataFrame:
+    """``_a, _b``: links that connect all similar members of the bands (``_member, _key``), not all links there are.
+
+    ``near`` pairs members with the hubs of their bands: a crowd of copies costs a comparison each. Bands whose members are
+    connected by then are done; in the others the pairs that are not are compared in tiles.
+    """
+    side = lambda name, x: sets.select(F.col("_member").alias(name), F.col("_values").alias(f"_v{x}"), F.col("_set").alias(f"_s{x}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = linked_pairs(batch, threshold, tolerance)
+            yield batch.select(["_a", "_b"]).take(pa.array(at))
+
+    pairs = near.select(F.col("_hub").alias("_a"), F.col("_member").alias("_b")).join(side("_a", "a"), "_a").join(side("_b", "b"), "_b")
+    first = store(pairs.select("_a", "_b", "_va", "_vb", "_sa", "_sb").mapInArrow(tidy(run), "_a binary, _b binary"), "hub-links")
+    known = store(connected_components(first, "_a", "_b").withColumnsRenamed({"id": "_member", "component": "_label"}), "connected")
+    labelled = store(banded.join(known, "_member", "left").withColumn("_label", F.coalesce("_label", "_member")), "labelled")
+    mixed = labelled.groupBy("_key").agg(F.min("_label").alias("_least"), F.max("_label").alias("_most")).where("_least <> _most").select("_key")
+    open_ = labelled.join(mixed, "_key").join(sets, "_member").withColumnsRenamed({"_key": "_group", "_member": "_id"})
+    rest = tiles.run_tiles(tiles.spread(open_, "_size"), ["_id", "_copies", "_label", "_set", "_values"], lambda t: link_tile(t, threshold, tolerance),
+                           "_id binary, links long, root binary").where("_id <> root").select(F.col("root").alias("_a"), F.col("_id").alias("_b"))
+    return first.unionByName(store(rest, "band-links"))
 
 
 def similarity_groups(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_links, class_id, kept`` for every row: documents whose sets of five-word shingles have a
+    """``id, n_links, class_id, kept, text_key, class_key`` for every row: documents whose sets of five-word shingles have a
     Jaccard similarity of ``threshold`` or more are linked; ``n_links`` counts the other rows linked
     directly, ``class_id`` is the smallest id reachable by links, ``kept`` marks the row with that id.
 
@@ -218,44 +269,62 @@ def similarity_groups(docs: DataFrame, threshold: float = THRESHOLD, tolerance:
             sizes[filled] = [len(s) for s in sets]
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
-                ["_id", "_digest", "_size", "_bands"])
-
-    signed = store(rows.mapInArrow(tidy(run), "_id long, _digest binary, _size long, _bands array<long>"), "signatures")
-    # one member per distinct text: smallest id, weight and (alike in all copies) the bands
-    heads = signed.where("_digest is not null").groupBy("_digest").agg(
-        F.min("_id").alias("_head"), F.count("*").alias("_copies"), F.first("_size").alias("_size"), F.first("_bands").alias("_bands"))
-    heads = store(heads.withColumn("_member", F.xxhash64("_digest")), "heads")
+                [batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(sizes), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
+                ["_id", "text_key", "_digest", "_size", "_bands"])
+
+    signed = store(rows.withColumn("text_key", text_key("_text")).mapInArrow(
+        tidy(run), "_id long, text_key binary, _digest binary, _size long, _bands array<long>"), "signatures")
+    # one member per distinct text, named by its digest: smallest id, weight and (alike in all copies) the bands
+    heads = store(signed.where("_digest is not null").groupBy(F.col("_digest").alias("_member")).agg(
+        F.min("_id").alias("_head"), F.count("*").alias("_copies"), F.first("_size").alias("_size"), F.first("_bands").alias("_bands")), "heads")
     keyed = heads.select("_member", F.explode("_bands").alias("_key"))
     hubs = keyed.groupBy("_key").agg(F.min("_member").alias("_hub"), F.max("_member").alias("_last")).where("_hub <> _last").select("_key", "_hub")
-    near = keyed.join(hubs, "_key").where("_member <> _hub").select("_member", "_hub")
-    candidates = connected_components(near, "_member", "_hub").withColumnsRenamed({"id": "_member", "component": "_group"})
-
-    members = candidates.join(heads.drop("_bands"), "_member")
-    sets = shingle_sets(members.join(rows, F.col("_id") == F.col("_head")))
-    spread = tiles.spread(sets.withColumnRenamed("_member", "_id"), "_size")
-    linked = store(tiles.run_tiles(spread, ["_id", "_copies", "_set"], lambda t: link_tile(t, threshold, tolerance),
-                                   "_id long, links long, root long"), "links")
-    classes = connected_components(linked, "_id", "root").withColumnsRenamed({"id": "_member", "component": "_class"})
+    banded = store(keyed.join(hubs, "_key"), "bands")  # bands of one member alone are left out
+    near = store(banded.where("_member <> _hub").select("_member", "_hub").distinct(), "near")
+
+    met = near.select("_member").unionByName(near.select(F.col("_hub").alias("_member"))).distinct()
+    candidates = heads.drop("_bands").join(met, "_member")
+    sets = store(shingle_sets(candidates.join(rows, F.col("_id") == F.col("_head"))).dropDuplicates(["_member"]), "sets")
+    links = verified_links(banded.select("_member", "_key"), near, sets, threshold, tolerance)
+    classes = store(connected_components(links, "_a", "_b").withColumnsRenamed({"id": "_member", "component": "_class"}), "classes")
+
+    members = classes.withColumnRenamed("_class", "_group").join(sets, "_member").withColumnRenamed("_member", "_id")
+    counted = tiles.run_tiles(tiles.spread(members, "_size"), ["_id", "_copies", "_set", "_values"], lambda t: link_tile(t, threshold, tolerance),
+                              "_id binary, links long, root binary")
+    per_member = counted.groupBy(F.col("_id").alias("_member")).agg(F.sum("links").alias("_links"))
     smallest = classes.join(heads.select("_member", "_head"), "_member").groupBy("_class").agg(F.min("_head").alias("class_id"))
-    per_member = linked.groupBy(F.col("_id").alias("_member")).agg(F.sum("links").alias("_links"))
     info = (heads.drop("_bands", "_size").join(per_member, "_member", "left").join(classes, "_member", "left").join(smallest, "_class", "left")
-            .select("_digest", (F.col("_copies") - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"), F.coalesce("class_id", "_head").alias("class_id")))
-    return signed.select("_id", "_digest").join(info, "_digest", "left").select(
+            .select(F.col("_member").alias("_digest"), (F.col("_copies") - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"), F.coalesce("class_id", "_head").alias("class_id"),
+                    F.coalesce("_class", "_member").alias("class_key")))
+    return signed.select("_id", "_digest", "text_key").join(info, "_digest", "left").select(
         F.col("_id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_id", "_id").alias("class_id"),
-        F.coalesce(F.col("class_id") == F.col("_id"), F.lit(True)).alias("kept"))
+        F.coalesce(F.col("class_id") == F.col("_id"), F.lit(True)).alias("kept"), "text_key", F.coalesce("class_key", "text_key").alias("class_key"))
+
+
+def text_key(text: str) -> Column:
+    """Tells the texts of one id apart."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` without those that ``groups`` (:func:`similarity_groups`) does not keep.
 
-    Of rows that repeat both id and text one stays; rows with a null id stay. Up to ``BROADCAST_IDS``
-    dropped ids are broadcast after they have been counted, so that no text moves; more are joined by shuffle.
+    A row is known by its id and text: an id that is dropped with one text stays with another. Of rows that repeat an
+    id in one class one stays; rows with a null id stay. Up to ``BROADCAST_IDS`` dropped rows are broadcast after they have
+    been counted, so that no text moves; more are joined by shuffle.
     """
-    dropped = groups.where(~F.col("kept")).select(id_col).distinct()
-    out = docs.join(F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped, id_col, "left_anti")
-    twice = groups.where(F.col("kept") & F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").select(id_col)
+    keyed = docs.withColumn("_key", text_key(text_col))
+    here = (F.col(id_col) == F.col("_id")) & (F.col("_key") == F.col("_other"))
+
+    def side(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(*[F.col(c).alias(a) for c, a in ((id_col, "_id"), ("text_key", "_other"))], *more).distinct()
+
+    dropped = side(groups.where(~F.col("kept")))
+    out = keyed.join(F.broadcast(dropped) if dropped.count() <= BROADCAST_IDS else dropped, here, "left_anti")
+    kept = groups.where(F.col("kept") & F.col(id_col).isNotNull())
+    twice = kept.groupBy(id_col, "class_key").count().where("count > 1").drop("count")
     if twice.isEmpty():
         return out.select(docs.columns)
-    repeated = out.join(twice, id_col, "left_semi").dropDuplicates([id_col, text_col])
-    return out.join(twice, id_col, "left_anti").select(docs.columns).unionByName(repeated.select(docs.columns))
+    repeated = side(kept.join(twice, [id_col, "class_key"]), F.col("class_key").alias("_class"))
+    one = out.join(repeated, here).dropDuplicates(["_id", "_class"]).select(docs.columns)
+    return out.join(repeated, here, "left_anti").select(docs.columns).unionByName(one)

@@ -29,7 +29,7 @@ def op3_hmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_jaccard", oracles.NEAR_TEXTS)
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similarity_groups(table(spark, sf_dir, "documents"))
+    return jaccard.similarity_groups(table(spark, sf_dir, "documents")).drop("text_key", "class_key")
 
 
 @query("op5_quality")

@@ -96,6 +96,38 @@ def test_jaccard_repeated_rows_null_ids_and_empty_tables(spark):
     assert jaccard.similarity_groups(docs.limit(0)).count() == 0
 
 
+def test_one_id_on_two_texts_loses_neither(spark):
+    a, b = "one two three four five six seven", "quite another text that stands here alone"
+    docs = spark.createDataFrame([(3, a, 1), (5, a, 2), (5, b, 3), (5, b, 3), (6, b.upper(), 4), (7, None, 5), (7, None, 5), (None, a, 6)], "doc_id long, text string, kept int")
+    kept = sorted((r.doc_id or 0, r.text or "") for r in jaccard.keep_one(docs, jaccard.similarity_groups(docs)).collect())
+    assert kept == [(0, a), (3, a), (5, b), (7, "")]
+
+
+def test_a_passage_in_every_text_unites_nothing(spark, monkeypatch):
+    """Texts share half of their shingles, and so most of them some band: only verified groups are counted pair by pair."""
+    r = random.Random(8)
+    passage = " ".join(f"p{k}" for k in range(60))
+    texts = []
+    for _ in range(40):
+        base = [f"w{r.randint(0, 3000)}" for _ in range(45)]
+        for _ in range(r.choice([1, 1, 3])):
+            copy = list(base)
+            copy[r.randrange(45)] = "other"
+            texts.append(" ".join(copy) + " " + passage)
+    items = list(enumerate(texts))
+    sizes, spread = [], tiles.spread
+    monkeypatch.setattr(jaccard.tiles, "spread", lambda members, *more: (sizes.append(members.groupBy("_group").count().agg(F.max("count"), F.sum("count")).first()), spread(members, *more))[1])
+    found = {r.doc_id: (r.n_links, r.class_id) for r in jaccard.similarity_groups(spark.createDataFrame(items, "doc_id long, text string")).collect()}
+    links = brute_links(items)
+    degree, classes = Counter(x for pair in links for x in pair), united(links, range(len(items)))
+    assert found == {i: (degree[i], classes[i]) for i, _ in items} and links
+    members = defaultdict(set)  # equal texts are one member
+    for i, text in items:
+        members[classes[i]].add(text)
+    crowds = [len(m) for m in members.values() if len(m) > 1]
+    assert tuple(sizes[-1]) == (max(crowds), sum(crowds))
+
+
 def test_bayesian_bound():
     for n in (32, 64, 160):
         m = jaccard.fewest_matches(n, 0.8, 1e-6)
