@@ -10,7 +10,7 @@ from dataclasses import dataclass
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 "
     "h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td "
-    "textarea tfoot th thead title tr ul".split())
+    "textarea tfoot th thead tr ul".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 SILENT_TAGS = frozenset("script style noscript template iframe object svg annotation annotation-xml head title audio video canvas".split())
 HEAD_TAGS = frozenset("base link meta title style script noscript template".split())  # start tags that leave a head open
@@ -48,6 +48,7 @@ def blocks(source: str | None) -> list[Block]:
 
     Forgiving like a browser: open paragraphs, items and cells close at the next one, end tags without a
     start are ignored, a head ends at the first thing that may not stand in it, a tag cut off by the end of the page is no text. A line break is white space.
+    Nothing inside a drawing (svg) ends the block around it.
     """
     out: list[Block] = []
     tags: list[str] = []
@@ -103,7 +104,8 @@ def blocks(source: str | None) -> list[Block]:
         tag = tag.lower()
         if not slash and tag not in HEAD_TAGS:
             end_head()
-        if tag in BLOCK_TAGS:
+        drawn = "svg" in tags and (not slash or tag in tags[tags.index("svg"):])
+        if tag in BLOCK_TAGS and not drawn:
             flush()
         elif tag == "br":
             add(" ")
@@ -111,7 +113,7 @@ def blocks(source: str | None) -> list[Block]:
             if tag in tags:
                 pop_to(len(tags) - 1 - tags[::-1].index(tag))
             continue
-        if tag in BLOCK_TAGS:
+        if tag in BLOCK_TAGS and not drawn:
             if "p" in tags and tag not in ("option", "button"):
                 pop_to(len(tags) - 1 - tags[::-1].index("p"))
             if tag in SIBLINGS:
