@@ -176,6 +176,36 @@ def test_forest_equals_brute_force(spark, monkeypatch, tile, leaf):
     assert found == {i: (degree[i], comps[i], comps[i] == i) for i in range(len(xs))}
 
 
+def planted_pairs(cosine, n=400, others=20_000, dim=64, seed=3):
+    """Rows 2k and 2k + 1 have exactly that cosine and stand alone; the other rows are random."""
+    g = np.random.default_rng(seed)
+    a = g.standard_normal((n, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = g.standard_normal((n, dim))
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    pairs = np.stack([a, cosine * a + math.sqrt(1 - cosine ** 2) * b], axis=1).reshape(2 * n, dim)
+    rest = g.standard_normal((others, dim))
+    return np.concatenate([pairs, rest / np.linalg.norm(rest, axis=1, keepdims=True)])
+
+
+def pairs_met(x, n, depth):
+    met = np.zeros(n, bool)
+    for t in range(forest.TREES):
+        rows, leaves = forest.plant(x[::2], depth, t).leaves(x)
+        places = defaultdict(set)
+        for row, leaf in zip(rows[rows < 2 * n].tolist(), leaves[rows < 2 * n].tolist()):
+            places[row].add(leaf)
+        met |= np.array([bool(places[2 * k] & places[2 * k + 1]) for k in range(n)])
+    return met.mean()
+
+
+@pytest.mark.parametrize("depth", [4, 8, 10])
+@pytest.mark.parametrize("cosine", [0.9, 0.92, 0.95])
+def test_forest_meets_planted_pairs(cosine, depth):
+    assert pairs_met(planted_pairs(cosine), 400, depth) >= 0.98
+
+
 def test_forest_edge_tables(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert forest.near_duplicates(none).count() == 0
