@@ -34,12 +34,14 @@ def clean_report(df: DataFrame, tie: str = "request_id", min_ratio: float = filt
     """What cleaning keeps and drops, from one pass over the log.
 
     Every attempt is reduced to its reason, length and loop flag before the keys are grouped, so no text is
-    sorted or shuffled; ``max_by`` combines on the map side.
+    sorted or shuffled; ``max_by`` combines on the map side. A text with so few newlines that even equal lines
+    reach ``min_ratio`` is not cut into lines.
     """
     complete = (F.col("finish_reason") == "stop") & (F.length("content") > 0)
     narrow = df.select(
         *LOG_KEYS, "timestamp", F.col(tie).alias("_tie"), "finish_reason", F.length("content").alias("length"),
-        F.when(complete, text.unique_line_ratio("content") < F.lit(min_ratio)).alias("loops"),
+        F.when(complete, F.when((text.newline_count("content") + 1) * F.lit(min_ratio) <= 1, False)
+               .otherwise(text.unique_line_ratio("content") < F.lit(min_ratio))).alias("loops"),
     )
     newest = narrow.groupBy(*LOG_KEYS).agg(
         F.count(F.lit(1)).alias("n"),

@@ -27,13 +27,14 @@ def parse_multi_pair(df: DataFrame, reply: str = "content") -> DataFrame:
     response``; sections without an instruction or a response are left out. Other columns stay."""
     sections = F.split(F.concat(F.lit("\n"), reply), r"\n## Pair ")
     cut = df.withColumn("_s", F.explode(F.slice(sections, F.lit(2), F.greatest(F.size(sections) - 1, F.lit(0)))))
+    # every heading cuts once: what stands before the first of its kind, and all the rest
+    asked = cut.withColumn("_a", F.split("_s", "\n### Instruction\n", 2)).where("size(_a) = 2")
+    answered = asked.withColumn("_r", F.split(F.col("_a")[1], "\n### Response\n", 2)).where("size(_r) = 2")
     head = r"^(\d+) \[([^/\]\n]*)/([^\]\n]*)\]"
-    body = r"(?s)\n### Instruction\n(.*?)\n### Response\n(.*)$"
-    found = cut.where(F.col("_s").rlike(head) & F.col("_s").rlike(body))
+    found = answered.withColumns({"_h": F.col("_a")[0], "_i": F.col("_r")[0], "_o": F.col("_r")[1]}).where(F.col("_h").rlike(head))
     return found.select(
-        *df.columns, F.regexp_extract("_s", head, 1).cast("int").alias("pair_no"), F.regexp_extract("_s", head, 2).alias("task"),
-        F.regexp_extract("_s", head, 3).alias("level"), text.strip(F.regexp_extract("_s", body, 1)).alias("instruction"),
-        text.strip(F.regexp_extract("_s", body, 2)).alias("response"),
+        *df.columns, F.regexp_extract("_h", head, 1).cast("int").alias("pair_no"), F.regexp_extract("_h", head, 2).alias("task"),
+        F.regexp_extract("_h", head, 3).alias("level"), text.strip("_i").alias("instruction"), text.strip("_o").alias("response"),
     ).where("instruction <> '' and response <> ''")
 
 

@@ -35,14 +35,15 @@ def shuffle_rows(df: DataFrame, seed: int = SEED, id_col: str = "id") -> DataFra
     return df.orderBy(seeded_hash(seed, id_col), id_col)
 
 
-def _cut(df: DataFrame, hashed: Column, id_col: str, n: int | None = None, fraction: float | None = None) -> tuple[Column, Column]:
+def _cut(df: DataFrame, hashed: Column, id_col: str, n: int | None = None, fraction: float | None = None) -> Column:
     """Where the first ``n`` rows (or the first ``ceil(fraction * rows)``) by ``(hashed, id)`` end: the last
-    pair, and how many of its rows are still in.
+    pair ``_h, _id``, how many rows have it (``_n``), and how many of them are still in (``_in``). ``hashed`` begins
+    with hexadecimal digits.
 
     A top-n would send n rows of every task to one place. Instead the cut is located on the id
     column alone: a histogram over about a million hash buckets names the bucket it falls in, and
     the ids of that bucket are counted in order. Choosing the rows is then a comparison with one
-    value, in a scan without a shuffle. Both results are null when fewer rows exist.
+    value, in a scan without a shuffle. The result is null when fewer rows exist.
     """
     ids = df.select(F.col(id_col).alias("_id"), hashed.alias("_h")).withColumn("_b", hash_number(F.col("_h"), _BUCKET_DIGITS))
     sizes = ids.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -60,23 +61,36 @@ def _cut(df: DataFrame, hashed: Column, id_col: str, n: int | None = None, fract
     found = (
         ids.filter(F.col("_b") == cut["b"]).groupBy("_h", "_id").agg(F.count(F.lit(1)).alias("_n"))
         .select("_h", "_id", "_n", F.sum("_n").over(in_order).alias("_until")).filter(F.col("_until") >= cut["m"])
-        .agg(F.min(F.struct("_h", "_id", (cut["m"] - F.col("_until") + F.col("_n")).alias("_in"))).alias("_c"))
+        .agg(F.min(F.struct("_h", "_id", "_n", (cut["m"] - F.col("_until") + F.col("_n")).alias("_in"))).alias("_c"))
     ).select("_c").scalar()
-    return F.struct(found["_h"].alias("_h"), found["_id"].alias("_id")), found["_in"]
+    return found
 
 
 def _marked(df: DataFrame, hashed: Column, id_col: str, n: int | None = None, fraction: float | None = None) -> DataFrame:
-    """``df`` with ``_in``: exactly the first ``n`` rows. Only the rows that share the last id are ranked."""
+    """``df`` with ``_in``: exactly the first ``n`` rows. The cut is taken at once: one row reaches the driver.
+
+    If only some of the rows with the last id are in, they are told apart by a hash of their content, with a second cut
+    among them. Rows alike in content too are interchangeable: they are counted, and as many copies of one as are in and
+    out stand for them. So a task gets neither the rows of an id nor those of a content.
+    """
+    spark = df.sparkSession
     if n == 0 or fraction == 0:
         return df.withColumn("_in", F.lit(False))
-    last, still = _cut(df, hashed, id_col, n, fraction)
+    last = spark.range(1).select(_cut(df, hashed, id_col, n, fraction).alias("c")).first()["c"]
+    if last is None:  # fewer rows than asked for, so all of them are in
+        return df.withColumn("_in", F.lit(True))
     place = F.struct(hashed.alias("_h"), F.col(id_col).alias("_id"))
-    # no cut: fewer rows than asked for, so all of them are in
-    sided = df.withColumn("_side", F.when(last["_h"].isNull() | (place < last), 1).when(place == last, 0).otherwise(-1))
-    clear = sided.filter("_side <> 0").withColumn("_in", F.col("_side") == 1)
-    same = Window.partitionBy("_side").orderBy(F.xxhash64(*df.columns))
-    edge = sided.filter("_side = 0").withColumn("_in", F.row_number().over(same) <= still)
-    return clear.unionByName(edge).drop("_side")
+    at = F.struct(F.lit(last["_h"]).alias("_h"), F.lit(last["_id"]).cast(df.schema[id_col].dataType).alias("_id"))
+    if last["_in"] == last["_n"]:
+        return df.withColumn("_in", place <= at)
+    clear = df.filter(place != at).withColumn("_in", place < at)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    edge = df.filter(place == at).select(row.alias("_row"), F.md5(F.to_json(row)).alias("_content"))
+    end = spark.range(1).select(_cut(edge, F.col("_content"), "_content", last["_in"]).alias("c")).first()["c"]
+    apart = edge.filter(F.col("_content") != end["_h"]).select("_row.*", (F.col("_content") < end["_h"]).alias("_in"))
+    alike = edge.filter(F.col("_content") == end["_h"]).agg(F.first("_row").alias("_row"))
+    copies = alike.select("_row.*", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(end["_n"]).cast("long"))).alias("_copy"))
+    return clear.unionByName(apart).unionByName(copies.withColumn("_in", F.col("_copy") <= end["_in"]).drop("_copy"))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id", exact: bool = False) -> DataFrame:
@@ -88,9 +102,9 @@ def sample_n(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id", exact:
     hashed = seeded_hash(seed, id_col)
     if exact or n == 0:
         return _marked(df, hashed, id_col, n=n).filter("_in").drop("_in")
-    last, _ = _cut(df, hashed, id_col, n)
+    last = _cut(df, hashed, id_col, n)
     place = F.struct(hashed.alias("_h"), F.col(id_col).alias("_id"))
-    return df.filter(last["_h"].isNull() | (place <= last))
+    return df.filter(last["_h"].isNull() | (place <= F.struct(last["_h"].alias("_h"), last["_id"].alias("_id"))))
 
 
 def shuffle_take(df: DataFrame, n: int, seed: int = SEED, id_col: str = "id", exact: bool = False) -> DataFrame:
@@ -137,12 +151,14 @@ def weighted_sample(df: DataFrame, n: int, weight: Column, seed: int = SEED, id_
     """``n`` rows without replacement, with chances in proportion to ``weight``.
 
     Each row gets the key ``-ln(u) / weight`` with ``u`` from its id's hash; the smallest keys win. Rows
-    with a null or non-positive weight are never drawn. The key is written as a hexadecimal fraction, so
-    that the cut is found as in ``sample_n``.
+    with a null or non-positive weight are never drawn. The key's logarithm is written as a hexadecimal
+    fraction, so that the cut is found as in ``sample_n``: on that scale the keys of weights of any size are
+    spread over the histogram.
     """
     u = (hash_number(seeded_hash(seed, id_col)) + F.lit(0.5)) / F.lit(2.0 ** 32)
     key = -F.log(u) / F.col("_w")
-    fraction = F.floor(key / (key + F.lit(1.0)) * F.lit(2.0 ** 52)).cast("long")
+    scaled = F.least(F.greatest((F.log(key) + F.lit(256.0)) / F.lit(512.0), F.lit(0.0)), F.lit(1 - 2.0 ** -52))
+    fraction = F.floor(scaled * F.lit(2.0 ** 52)).cast("long")
     weighed = df.withColumn("_w", weight.cast("double")).filter("_w > 0").withColumn("_k", F.lower(F.lpad(F.hex(fraction), 13, "0")))
     return _marked(weighed, F.col("_k"), id_col, n=n).filter("_in").drop("_in", "_w", "_k")
 

@@ -182,16 +182,17 @@ _SHARES = {"domain": 70, "general": 15, "functional": 15}
 
 
 @query("mix_to_proportions", sql("""SELECT doc_id, source FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('42|' || doc_id), doc_id) AS rn FROM s)
-  WHERE rn <= CASE source WHEN 'domain' THEN 140 ELSE 30 END""", s=_SETS))
+  WHERE rn <= floor((SELECT floor(min(n * 100 / CASE source WHEN 'domain' THEN 70 ELSE 15 END)) FROM (SELECT source, count(*) AS n FROM s GROUP BY 1))
+    * CASE source WHEN 'domain' THEN 70 ELSE 15 END / 100)""", s=_SETS))
 def _(spark, sf):
-    return mixing.mix_to_proportions(_thirds(spark, sf), _SHARES, total=200, id_col="doc_id").select("doc_id", "source")
+    return mixing.mix_to_proportions(_thirds(spark, sf), _SHARES, id_col="doc_id").select("doc_id", "source")
 
 
 @query("interleave", sql(f"""SELECT slot, d.source, doc_id FROM (
-    SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS k FROM (SELECT range AS slot, {_share_sql(_SHARES, 'range')} AS source FROM range(40000))) d
+    SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS k FROM (SELECT range AS slot, {_share_sql(_SHARES, 'range')} AS source FROM range((SELECT 1000 + 10 * count(*) FROM documents)))) d
   JOIN (SELECT *, row_number() OVER (PARTITION BY source ORDER BY md5('42|' || doc_id), doc_id) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM s) s
     ON s.source = d.source AND s.r = d.k % s.n
   WHERE slot <= (SELECT max(slot) FROM (SELECT slot, source, row_number() OVER (PARTITION BY source ORDER BY slot) AS k FROM (
-      SELECT range AS slot, {_share_sql(_SHARES, 'range')} AS source FROM range(40000))) e JOIN (SELECT source, count(*) AS n FROM s GROUP BY 1) c ON c.source = e.source AND e.k = c.n)""", s=_SETS))
+      SELECT range AS slot, {_share_sql(_SHARES, 'range')} AS source FROM range((SELECT 1000 + 10 * count(*) FROM documents)))) e JOIN (SELECT source, count(*) AS n FROM s GROUP BY 1) c ON c.source = e.source AND e.k = c.n)""", s=_SETS))
 def _(spark, sf):
     return mixing.interleave(_thirds(spark, sf), _SHARES, id_col="doc_id").select("slot", "source", "doc_id")

@@ -117,3 +117,27 @@ def test_candidates_are_cut_before_the_shuffle(spark):
     df = spark.range(100).selectExpr("concat('f', id) AS id", "'x' AS code", "'src/a' AS file_path", "false AS is_official", "0 AS stars")
     plan = sampling.stratified_sample(df, 10)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_rows_of_one_id_and_rows_alike_are_cut_exactly(spark):
+    rows = [("hot", "alike", 1)] * 40 + [("hot", f"text {k}", None) for k in range(20)] + [("hot", None, None)] * 5 + [(f"i{k}", "x", k) for k in range(10)] + [(None, "y", 0)] * 3
+    df = spark.createDataFrame(rows, "id string, text string, k long").repartition(6)
+    for n in (1, 7, 33, 60, 77, 78, 100):
+        found = sampling.sample_n(df, n, exact=True)
+        assert found.count() == min(n, 78) and found.exceptAll(df).count() == 0
+    split = sampling.train_eval_split(df, 0.4, exact=True)
+    assert split.where("split = 'eval'").count() == 32 and split.drop("split").exceptAll(df).count() == df.exceptAll(split.drop("split")).count() == 0
+    smaller, larger = sampling.sample_n(df, 20, exact=True), sampling.sample_n(df, 50, exact=True)
+    assert smaller.exceptAll(larger).count() == 0
+
+
+def test_large_weights_do_not_fall_into_one_bucket(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("id"), (F.col("id") * 1_000_000 + 1).cast("double").alias("w"))
+    seen = {}
+    real = sampling._cut
+    try:
+        sampling._cut = lambda d, hashed, *more: (seen.update(n=d.select(F.substring(hashed, 1, 5)).distinct().count()), real(d, hashed, *more))[1]
+        assert sampling.weighted_sample(df, 100, F.col("w")).count() == 100
+    finally:
+        sampling._cut = real
+    assert seen["n"] > 1000
