@@ -56,6 +56,18 @@ def ready(df: DataFrame) -> SparkSession:
     return spark
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Python batches of at most ``rows`` rows for the jobs that run inside: for rows that hold several long values."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession

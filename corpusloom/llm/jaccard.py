@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import ready, store, tidy
+from corpusloom.llm.common import ready, small_batches, store, tidy
 from corpusloom.operators import tiles
 from corpusloom.operators.components import connected_components
 
@@ -29,6 +29,7 @@ STEP, STEPS = 32, 5  # values compared at a time, and how often
 TOLERANCE = 1e-6  # posterior probability below which a pair is dropped
 BROADCAST_IDS = 500_000  # ids with digests, about 20 MB
 CHUNK = 16_384  # shingles hashed at a time
+PAIR_ROWS = 64  # pairs in a batch, each with two whole sets
 
 
 class WordHash(dict):
@@ -223,11 +224,14 @@ def verified_links(banded: DataFrame, near: DataFrame, sets: DataFrame, threshol
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if not batch.num_rows:
+                continue
             at = linked_pairs(batch, threshold, tolerance)
             yield batch.select(["_a", "_b"]).take(pa.array(at))
 
     pairs = near.select(F.col("_hub").alias("_a"), F.col("_member").alias("_b")).join(side("_a", "a"), "_a").join(side("_b", "b"), "_b")
-    first = store(pairs.select("_a", "_b", "_va", "_vb", "_sa", "_sb").mapInArrow(tidy(run), "_a binary, _b binary"), "hub-links")
+    with small_batches(sets.sparkSession, PAIR_ROWS):
+        first = store(pairs.select("_a", "_b", "_va", "_vb", "_sa", "_sb").mapInArrow(tidy(run), "_a binary, _b binary"), "hub-links")
     known = store(connected_components(first, "_a", "_b").withColumnsRenamed({"id": "_member", "component": "_label"}), "connected")
     labelled = store(banded.join(known, "_member", "left").withColumn("_label", F.coalesce("_label", "_member")), "labelled")
     mixed = labelled.groupBy("_key").agg(F.min("_label").alias("_least"), F.max("_label").alias("_most")).where("_least <> _most").select("_key")
