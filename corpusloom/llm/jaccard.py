@@ -27,7 +27,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 40, 6  # a pair at 0.8 shares no band with probability 5e-6, one at 0.3 shares one with 0.03
 STEP, STEPS = 32, 5  # values compared at a time, and how often
 TOLERANCE = 1e-6  # posterior probability below which a pair is dropped
-BROADCAST_IDS = 500_000  # ids with digests, about 20 MB
+BROADCAST_IDS = 100_000  # ids with digests, about 20 MB as a hash table
 CHUNK = 16_384  # shingles hashed at a time
 PAIR_ROWS = 64  # pairs in a batch, each with two whole sets
 
