@@ -2,8 +2,10 @@
 
 Trees are fitted on a bounded sample: random directions, cuts at the median of the projections, and a margin
 on either side of a cut whose vectors go both ways. Every vector runs down every tree; vectors are compared
-within leaves only, and similar ones are united. Inside the united groups all pairs are then verified in
-tiles, so that the number of links of a vector does not depend on the leaves that it met its partners in.
+within leaves only, and similar ones are united. The sample bounds the depth of the planted trees: leaves that hold too
+much go on splitting at quantiles of their own vectors, found by Spark over all of them, and what cannot be split is
+compared in tiles. Inside the united groups all pairs are then verified in tiles, so that the number of links of a vector
+does not depend on the leaves that it met its partners in.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ LEAF = 1024  # vectors that a leaf is planned for, before spill
 SAMPLE = 32_768  # bound of the vectors that the cuts are taken from
 SAMPLE_PER_LEAF = 16
 ROWS = 1024  # rows compared with a leaf at a time
+OVERSIZE = 8  # leaves with more than so many times LEAF vectors are split further; one task compares no more than that
+ROUNDS = 40  # of further splits; what is large then is compared in tiles
+MOST_BOTH = 0.5  # a cut that sends a larger share of a leaf both ways does not split it
+SPARSE = 4  # links per vector that are united one by one
 
 
 @dataclass
@@ -90,6 +96,84 @@ def similar(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
     return x @ y.T >= threshold
 
 
+def united(x: np.ndarray, threshold: float, first: np.ndarray | None = None) -> np.ndarray:
+    """For every row the smallest row number reachable by links; with ``first`` (a mask) only links between its rows and
+    the others count. A slab of rows at a time, so memory is bounded by ``ROWS`` times the rows."""
+    label = np.arange(len(x))
+    rows, columns = (label.copy(), label.copy()) if first is None else (np.flatnonzero(first), np.flatnonzero(~first))
+    for a in range(0, len(rows), ROWS):
+        slab = rows[a:a + ROWS]
+        linked = similar(x[slab], x[columns], threshold)
+        while True:
+            apart = linked & (label[slab][:, None] != label[columns][None, :])
+            counts = apart.sum(axis=1)
+            if counts.sum() <= SPARSE * len(x):
+                break
+            hub = counts.argmax()  # a crowd is united at once
+            names = np.unique(label[np.append(columns[apart[hub]], slab[hub])])
+            label[np.isin(label, names)] = names[0]
+        i, j = np.nonzero(apart)
+        for p, q in zip(slab[i].tolist(), columns[j].tolist()):
+            while label[p] != p:
+                label[p] = p = label[label[p]]
+            while label[q] != q:
+                label[q] = q = label[label[q]]
+            label[max(p, q)] = min(p, q)
+        while (label[label] != label).any():
+            label = label[label]
+    return label
+
+
+def links_of(group: pa.Table, key: str, threshold: float, first: np.ndarray | None = None) -> pa.RecordBatch:
+    """``a, b``: links that connect what is similar among the vectors of a leaf or tile."""
+    label, keys = united(matrix(group["_raw"]), threshold, first), group[key].combine_chunks()
+    joined = np.flatnonzero(label != np.arange(len(label)))
+    return pa.RecordBatch.from_arrays([keys.take(pa.array(joined)), keys.take(pa.array(label[joined]))], ["a", "b"])
+
+
+def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds ``_p``, the projection on the direction that belongs to the row's leaf."""
+    for batch in batches:
+        names, raw = batch.column(0).to_numpy(), batch.column(2).to_pylist()
+        p = np.zeros(len(names))
+        for name in np.unique(names).tolist():
+            at = np.flatnonzero(names == name)
+            x = np.frombuffer(b"".join(raw[k] for k in at.tolist()), "<f8").reshape(len(at), -1)
+            p[at] = x @ np.random.default_rng(name & ((1 << 64) - 1)).standard_normal(x.shape[1])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], ["_leaf", "_member", "_raw", "_p"])
+
+
+def deepen(rows: DataFrame, bound: int, spill: float) -> tuple[list[DataFrame], DataFrame | None]:
+    """Splits leaves of more than ``bound`` rows (``_leaf, _member, _raw``) until none is left or none can be split:
+    the leaves within the bound, and the rows of the others (None if there are none).
+
+    The cuts are quantiles over all rows of a leaf, aggregated on the map side; no leaf is gathered. A leaf that would
+    send more than ``MOST_BOTH`` of its rows both ways, as ties do, is not split.
+    """
+    small, stuck = [], None
+    for turn in range(ROUNDS + 1):
+        large = store(rows.groupBy("_leaf").agg(F.count("*").alias("_n")).where(F.col("_n") > bound).select("_leaf"), "large-leaves")
+        if large.isEmpty():
+            return [*small, rows], stuck
+        small.append(rows.join(large, "_leaf", "left_anti"))
+        whole = rows.join(large, "_leaf", "left_semi").select("_leaf", "_member", "_raw")
+        if turn == ROUNDS:
+            return small, whole if stuck is None else stuck.unionByName(whole)
+        moving = store(whole.mapInArrow(project, "_leaf long, _member binary, _raw binary, _p double"), "large")
+        quantiles = F.percentile_approx("_p", [0.5 - spill, 0.5 + spill], 1000)
+        cuts = store(moving.groupBy("_leaf").agg(quantiles.alias("_q")).select("_leaf", F.col("_q")[0].alias("_low"), F.col("_q")[1].alias("_high")), "cuts")
+        cut = moving.join(cuts, "_leaf")
+        left, right = F.col("_p") <= F.col("_high"), F.col("_p") >= F.col("_low")
+        shares = store(cut.groupBy("_leaf").agg((F.count_if(left & right) > MOST_BOTH * F.count("*")).alias("_tied")), "shares")
+        if not shares.where("_tied").isEmpty():
+            kept = moving.join(shares.where("_tied"), "_leaf", "left_semi").drop("_p")
+            stuck = kept if stuck is None else stuck.unionByName(kept)
+            cut = cut.join(shares.where("not _tied"), "_leaf", "left_semi")
+        sides = F.filter(F.array(F.when(left, F.xxhash64("_leaf", F.lit(0))), F.when(right, F.xxhash64("_leaf", F.lit(1)))), lambda c: c.isNotNull())
+        rows = store(cut.select(F.explode(sides).alias("_leaf"), "_member", "_raw"), "leaves")
+    return small, stuck
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, spill: float = SPILL,
                     leaf: int = LEAF, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``id, n_links, component_id, kept`` for every row: vectors with a cosine of ``threshold`` or more are
@@ -107,17 +191,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, trees: int
             ids = batch.column(0).to_pylist()
             found = [unit(x) if x is not None and key is not None else None for key, x in zip(ids, vector(batch.column(1)))]
             raw = [None if x is None else x.astype("<f8").tobytes() for x in found]
-            keys = [None if r is None else xxhash.xxh64_intdigest(r) - (1 << 63) for r in raw]
+            keys = [None if r is None else xxhash.xxh3_128_digest(r) for r in raw]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.int64()), pa.array([None if x is None else len(x) for x in found], pa.int32()), pa.array(raw, pa.binary())],
+                [batch.column(0), pa.array(keys, pa.binary()), pa.array([None if x is None else len(x) for x in found], pa.int32()), pa.array(raw, pa.binary())],
                 ["_id", "_member", "_size", "_raw"])
 
     rows = store(vectors.select(F.col(id_col).cast("long").alias("_id"), vector_col).mapInArrow(
-        clean, "_id long, _member long, _size int, _raw binary"), "vectors")
+        clean, "_id long, _member binary, _size int, _raw binary"), "vectors")
     members = store(rows.where("_member is not null").groupBy("_member").agg(
         F.min("_id").alias("_head"), F.count("*").alias("_copies"), F.first("_size").alias("_size"), F.first("_raw").alias("_raw")), "members")
     # trees per vector length; lengths are few, each gets a bounded sample
-    pairs = None
+    routed = None
     for size, n in sorted((r["_size"], r["n"]) for r in members.groupBy("_size").agg(F.count("*").alias("n")).collect()):
         part = members.where(F.col("_size") == size)
         fraction = SAMPLE / n
@@ -127,7 +211,6 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, trees: int
         depth = max(0, int(np.ceil(np.log2(max(1, n / leaf)))))
         depth = min(depth, max(0, int(np.log2(max(1, len(drawn) / SAMPLE_PER_LEAF)))))
         shared = spark.sparkContext.broadcast([plant(drawn, depth, 1000 * size + t, spill) for t in range(trees)])
-        named = (1 << depth) * trees
 
         def route(batches: Iterator[pa.RecordBatch], shared=shared, size=size) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -139,38 +222,35 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, trees: int
                         names = np.full(len(at), size, np.int64) << 40 | t << 32 | leaves
                         yield pa.RecordBatch.from_arrays([pa.array(names), chosen.column(0), chosen.column(1)], ["_leaf", "_member", "_raw"])
 
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for group in tiles.by_group(batches, ["_leaf"]):
-                x, keys = matrix(group["_raw"]), group["_member"].to_numpy()
-                label = np.arange(len(x))
-                for a in range(0, len(x), ROWS):  # union of every row's partners, a slab at a time
-                    linked = similar(x[a:a + ROWS], x, threshold)
-                    i, j = np.nonzero(linked)
-                    i = i + a
-                    keep = i < j
-                    for p, q in zip(i[keep].tolist(), j[keep].tolist()) if keep.sum() < 4 * len(x) else _thin(linked, a):
-                        while label[p] != p:
-                            label[p] = p = label[label[p]]
-                        while label[q] != q:
-                            label[q] = q = label[label[q]]
-                        label[max(p, q)] = min(p, q)
-                while (label[label] != label).any():
-                    label = label[label]
-                joined = label != np.arange(len(x))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[joined]), pa.array(keys[label[joined]])], ["a", "b"])
-
-        leaves = part.select("_member", "_raw").mapInArrow(route, "_leaf long, _member long, _raw binary")
-        spread = leaves.repartition("_leaf").sortWithinPartitions("_leaf")
-        found = spread.mapInArrow(compare, "a long, b long")
-        pairs = found if pairs is None else pairs.unionByName(found)
+        leaves = part.select("_member", "_raw").mapInArrow(route, "_leaf long, _member binary, _raw binary")
+        routed = leaves if routed is None else routed.unionByName(leaves)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in tiles.by_group(batches, ["_leaf"]):
+            yield links_of(group, "_member", threshold)
+
+    def compare_tile(tile: pa.Table) -> pa.RecordBatch:
+        block = tile["_block"].to_numpy()
+        return links_of(tile, "_id", threshold, None if tile["_i"][0].as_py() == tile["_j"][0].as_py() else block == block[0])
+
+    pairs = None
+    if routed is not None:
+        small, stuck = deepen(routed, OVERSIZE * leaf, spill)
+        for leaves in small:
+            spread = leaves.repartition("_leaf").sortWithinPartitions("_leaf")
+            found = spread.mapInArrow(compare, "a binary, b binary")
+            pairs = found if pairs is None else pairs.unionByName(found)
+        if stuck is not None:
+            spread = tiles.spread(stuck.withColumnsRenamed({"_leaf": "_group", "_member": "_id"}))
+            pairs = pairs.unionByName(tiles.run_tiles(spread, ["_id", "_raw"], compare_tile, "a binary, b binary"))
     if pairs is None:
         pairs = members.select(F.col("_member").alias("a"), F.col("_member").alias("b"))
-    united = connected_components(pairs).withColumnsRenamed({"id": "_member", "component": "_group"})
+    groups = connected_components(pairs).withColumnsRenamed({"id": "_member", "component": "_group"})
 
     def count(tile: pa.Table) -> pa.RecordBatch:
-        keys, block, weight = (tile[c].to_numpy() for c in ("_id", "_block", "_copies"))
+        block, weight = (tile[c].to_numpy() for c in ("_block", "_copies"))
         x = matrix(tile["_raw"])
-        links = np.zeros(len(keys), np.int64)
+        links = np.zeros(len(block), np.int64)
         if tile["_i"][0].as_py() == tile["_j"][0].as_py():
             close = similar(x, x, threshold)
             np.fill_diagonal(close, False)
@@ -179,24 +259,15 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, trees: int
             first = block == block[0]
             close = similar(x[first], x[~first], threshold)
             links[first], links[~first] = close @ weight[~first], close.T @ weight[first]
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(links.astype(np.int64))], ["_member", "_links"])
+        return pa.RecordBatch.from_arrays([tile["_id"].combine_chunks(), pa.array(links.astype(np.int64))], ["_member", "_links"])
 
-    spread = tiles.spread(united.join(members, "_member").withColumnRenamed("_member", "_id"))
-    counted = tiles.run_tiles(spread, ["_id", "_copies", "_raw"], count, "_member long, _links long")
+    spread = tiles.spread(groups.join(members, "_member").withColumnRenamed("_member", "_id"))
+    counted = tiles.run_tiles(spread, ["_id", "_copies", "_raw"], count, "_member binary, _links long")
     per_member = counted.groupBy("_member").agg(F.sum("_links").alias("_links"))
-    smallest = united.join(members.select("_member", "_head"), "_member").groupBy("_group").agg(F.min("_head").alias("_least"))
+    smallest = groups.join(members.select("_member", "_head"), "_member").groupBy("_group").agg(F.min("_head").alias("_least"))
     info = (members.select("_member", "_head", "_copies").join(per_member, "_member", "left")
-            .join(united, "_member", "left").join(smallest, "_group", "left")
+            .join(groups, "_member", "left").join(smallest, "_group", "left")
             .select("_member", (F.col("_copies") - 1 + F.coalesce("_links", F.lit(0))).alias("n_links"), F.coalesce("_least", "_head").alias("component_id")))
     return rows.select("_id", "_member").join(info, "_member", "left").select(
         F.col("_id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("component_id", "_id").alias("component_id"),
         F.coalesce(F.col("component_id") == F.col("_id"), F.lit(True)).alias("kept"))
-
-
-def _thin(linked: np.ndarray, a: int) -> Iterator[tuple[int, int]]:
-    """Enough of a dense slab's links to unite the same rows: each row's first partner, and for each partner
-    the first row that names it."""
-    partners = np.flatnonzero(linked.any(axis=0))
-    first_row = linked.argmax(axis=0)
-    yield from zip((first_row[partners] + a).tolist(), partners.tolist())
-    yield from zip(range(a, a + len(linked)), linked.argmax(axis=1).tolist())

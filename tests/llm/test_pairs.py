@@ -176,6 +176,54 @@ def test_forest_equals_brute_force(spark, monkeypatch, tile, leaf):
     assert found == {i: (degree[i], comps[i], comps[i] == i) for i in range(len(xs))}
 
 
+def brute_vectors(xs):
+    ok = {i: forest.unit(np.array(x)) for i, x in enumerate(xs) if x and None not in x and np.isfinite(x).all() and np.any(x)}
+    links = [(a, b) for a in ok for b in ok if a < b and len(ok[a]) == len(ok[b]) and ok[a] @ ok[b] >= 0.9]
+    degree, comps = Counter(x for p in links for x in p), united(links, range(len(xs)))
+    return {i: (degree[i], comps[i], comps[i] == i) for i in range(len(xs))}
+
+
+@pytest.mark.parametrize("rounds,both", [(40, 0.5), (0, 0.5), (1, 0.5), (40, 0.0)])
+def test_large_leaves_are_split_further_or_compared_in_tiles(spark, monkeypatch, rounds, both):
+    """No leaf beyond the bound reaches a task, and a crowd of near copies in it is united all the same."""
+    for name, value in (("SAMPLE", 64), ("OVERSIZE", 2), ("ROUNDS", rounds), ("MOST_BOTH", both), ("ROWS", 50)):
+        monkeypatch.setattr(forest, name, value)
+    monkeypatch.setattr(tiles, "TILE", 40)
+    g = np.random.default_rng(5)
+    crowd = g.standard_normal(16)
+    xs = vectors(2) + [(crowd + 0.04 * g.standard_normal(16)).tolist() for _ in range(250)] + ODD_VECTORS
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "vec_id long, embedding array<double>")
+    found, deepen = [], forest.deepen
+    monkeypatch.setattr(forest, "deepen", lambda *a: (found.append(deepen(*a)), found[-1])[1])
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in forest.near_duplicates(frame, leaf=32).collect()}
+    assert got == brute_vectors(xs)
+    small, stuck = found[0]
+    assert max(s.groupBy("_leaf").count().agg(F.max("count")).first()[0] or 0 for s in small) <= 64
+    assert (stuck is None) == (rounds == 40 and both == 0.5)
+
+
+def test_a_leaf_of_ties_is_not_split(spark):
+    rows = spark.range(100).select(F.lit(7).cast("long").alias("_leaf"), F.col("id").cast("string").cast("binary").alias("_member"),
+                                   F.lit(np.array([1.0, 0.0]).tobytes()).alias("_raw"))
+    small, stuck = forest.deepen(rows, 10, 0.1)
+    assert stuck.count() == 100 and not any(s.count() for s in small)
+
+
+@pytest.mark.parametrize("rows,sparse", [(1024, 4), (16, 4), (16, 0)])
+@pytest.mark.parametrize("across", [False, True])
+def test_union_inside_a_leaf_is_exact(monkeypatch, rows, sparse, across):
+    monkeypatch.setattr(forest, "ROWS", rows)
+    monkeypatch.setattr(forest, "SPARSE", sparse)
+    g = np.random.default_rng(9)
+    for dim, n in ((2, 60), (3, 150), (4, 200), (8, 40)):
+        x = g.standard_normal((n, dim))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        first = g.random(n) < 0.4 if across else None
+        links = [(i, j) for i in range(n) for j in range(i) if x[i] @ x[j] >= 0.9 and (first is None or first[i] != first[j])]
+        want = united(links, range(n))
+        assert forest.united(x, 0.9, first).tolist() == [want[i] for i in range(n)]
+
+
 def planted_pairs(cosine, n=400, others=20_000, dim=64, seed=3):
     """Rows 2k and 2k + 1 have exactly that cosine and stand alone; the other rows are random."""
     g = np.random.default_rng(seed)
