@@ -47,14 +47,27 @@ def stream_latest(log: DataFrame, keys: list[str] | None = None, timestamp: str
 
 
 def stream_dedup(files: DataFrame, event_time: str, delay: str = "1 hour", code: str = "code") -> DataFrame:
-    """First arrival per content within the watermark.
-
-    Unlike the batch operator it cannot prefer the most-starred copy, which takes the whole corpus.
-    """
+    """First arrival per content within the watermark, handed on at once; ``stream_dedup_best`` waits for the best copy."""
     keyed = files.withColumn("content_sha", content_key(code)).withWatermark(event_time, delay)
     return keyed.dropDuplicatesWithinWatermark(["content_sha"])
 
 
+def stream_dedup_best(files: DataFrame, event_time: str, delay: str = "1 hour", gap: str | None = None, code: str = "code",
+                      stars: str = "stars", id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
+    """The most-starred copy per content (ties: smallest id; null stars last), as the batch operator chooses it.
+
+    Copies belong together while each follows another by less than ``gap`` (default: ``delay``). The state holds the best
+    row of every open group, however many copies there are; a group is handed on once, in append mode, when the watermark
+    has passed its end, and leaves the state. Null contents are one content. Rows without an event time belong to no group
+    and are left out. ``columns`` (default: all) keeps the state small.
+    """
+    keyed = files.withColumn("content_sha", F.coalesce(content_key(code), F.lit(""))).withWatermark(event_time, delay)
+    order = F.struct(F.col(stars).isNull().alias("a"), (-F.col(stars)).alias("b"), F.col(id_col).isNull().alias("c"), F.col(id_col).alias("d"))
+    best = F.min_by(F.struct(*(columns or files.columns)), order)
+    groups = keyed.groupBy(F.session_window(event_time, gap or delay).alias("_w"), "content_sha")
+    return groups.agg(best.alias("_r")).select("_r.*", "content_sha")
+
+
 def stream_progress(log: DataFrame, event_time: str = "timestamp", window: str = "10 minutes", slide: str | None = None,
                     delay: str = "10 minutes") -> DataFrame:
     """Requests, failures and tokens per provider and time window; windows close by the watermark."""

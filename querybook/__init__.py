@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-SECTIONS = ["corpus", "repos", "genlog", "sampling", "chat", "pairs", "io", "streams", "increments"]
+SECTIONS = ["corpus", "repos", "genlog", "sampling", "chat", "pairs", "io", "streams", "increments", "buffers"]
 
 
 def load_all() -> None:
