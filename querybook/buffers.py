@@ -15,6 +15,7 @@ from corpusloom.streaming import buffers, streams
 from querybook.chat import training
 from querybook.fixtures import corpus_from, corpus_fx, gen_fx, sql, table
 from querybook.registry import query
+from querybook.streams import stream_of
 
 BUCKETS = 32
 
@@ -50,11 +51,10 @@ def _(spark, sf):
             CAST(1 AS BIGINT) AS n_held, CAST(sum(doc_id) AS BIGINT) AS ids FROM documents GROUP BY 1""")
 def _(spark, sf):
     # which of a batch's rows is held depends on the order of arrival; their numbers and their union do not
-    schema = table(spark, sf, "documents").select("doc_id", "text").schema
-    rows = streams.read_stream(spark, sf, schema, "parquet", "documents.parquet")
+    rows = stream_of(spark, sf, "documents").select("doc_id", "text")
     out, checkpoint = scratch_path(spark, "shuffled"), scratch_path(spark, "shuffled-state")
     streams.run_available(buffers.stream_buffer_shuffle(rows, ["doc_id"], buffer=100), out, checkpoint)
-    both = spark.read.schema(schema).parquet(out).withColumn("held", F.lit(0)).unionByName(
+    both = spark.read.schema(rows.schema).parquet(out).withColumn("held", F.lit(0)).unionByName(
         buffers.buffered_rows(spark, checkpoint).withColumn("held", F.lit(1)))
     slot = hash_number(seeded_hash(42, "doc_id")) % F.lit(100)
     return both.groupBy(slot.alias("slot")).agg(F.count_if(F.col("held") == 0).alias("n_left"), F.count_if(F.col("held") == 1).alias("n_held"),
@@ -70,8 +70,7 @@ def _(spark, sf):
                         ELSE 1 END AS fresh FROM corpus_fx)))
               WHERE rn = 1 AND last + 200.25 <= (SELECT max(doc_id) FROM corpus_fx) - 200.25""", "corpus_fx"))
 def _(spark, sf):
-    schema = table(spark, sf, "documents").schema
-    files = corpus_from(streams.read_stream(spark, sf, schema, "parquet", "documents.parquet")).withColumn(
+    files = corpus_from(stream_of(spark, sf, "documents")).withColumn(
         "seen_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id")))
     best = streams.stream_dedup_best(files, "seen_at", "200250 milliseconds", columns=["id", "stars"])
     out = scratch_path(spark, "best")

@@ -11,9 +11,13 @@ from querybook.fixtures import MAX_CHARS, corpus_from, sql, table
 from querybook.registry import query
 
 
-def _stream(spark, sf, name):
-    schema = table(spark, sf, name).schema
-    return streams.read_stream(spark, sf, schema, "parquet", f"{name}.parquet")
+def place(sf, name):
+    """A table's path as a pattern: unlike a plain path it may name a file as well as a folder of files."""
+    return f"{sf}/{name}.parque[t]"
+
+
+def stream_of(spark, sf, name):
+    return streams.read_stream(spark, place(sf, name), table(spark, sf, name).schema, "parquet")
 
 
 def _finish(spark, stream, label, mode="append"):
@@ -27,7 +31,7 @@ def _finish(spark, stream, label, mode="append"):
 
 @query("stream_filter_corpus", sql("SELECT id, license, sha256(code) AS digest FROM kept", "kept"))
 def _(spark, sf):
-    kept = streams.stream_filter_corpus(corpus_from(_stream(spark, sf, "documents")), max_chars=MAX_CHARS)
+    kept = streams.stream_filter_corpus(corpus_from(stream_of(spark, sf, "documents")), max_chars=MAX_CHARS)
     return _finish(spark, kept.select("id", "license", keys.content_key("code").alias("digest")), "filtered")
 
 
@@ -37,8 +41,8 @@ def _(spark, sf):
     schema = table(spark, sf, "documents").schema
     for _ in range(2):  # the second run finds nothing new
         streams.stream_resume(
-            spark, sf, out, checkpoint, lambda s: corpus_from(s).filter(F.length("code") >= 20).select("id"),
-            schema, "parquet", "documents.parquet",
+            spark, place(sf, "documents"), out, checkpoint,
+            lambda s: corpus_from(s).filter(F.length("code") >= 20).select("id"), schema, "parquet",
         )
     return spark.read.parquet(out)
 
@@ -55,7 +59,7 @@ _UTC = """timestamp_micros((date_diff(CAST(ts AS DATE), DATE'1970-01-01') * 8640
 
 
 def _log(spark, sf):
-    return _stream(spark, sf, "events").selectExpr(
+    return stream_of(spark, sf, "events").selectExpr(
         "event_id AS request_id", "concat('prov_', user_id % 2) AS provider", "concat('file/', user_id) AS source_file_id",
         "CASE event_id % 3 WHEN 0 THEN 'code_gen' WHEN 1 THEN 'explanation' ELSE 'completion' END AS task_type",
         f"{_UTC} AS timestamp", "CASE WHEN event_type = 'error' THEN 'timeout' END AS error",
@@ -75,7 +79,7 @@ def _(spark, sf):
 
 @query("stream_dedup", "SELECT DISTINCT sha256(text) AS content_sha FROM documents")
 def _(spark, sf):
-    files = corpus_from(_stream(spark, sf, "documents")).withColumn(
+    files = corpus_from(stream_of(spark, sf, "documents")).withColumn(
         "seen_at", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id") % 600)
     )
     return _finish(spark, streams.stream_dedup(files, "seen_at").select("content_sha"), "distinct")
