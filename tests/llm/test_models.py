@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from corpusloom.llm import hmm, htmltext, langid, quality
 from corpusloom.llm.common import table
@@ -115,6 +116,24 @@ def test_kneser_ney_equals_its_definition(spark):
     assert scored[5].n_symbols == len(texts[5]) + 1 and math.isclose(math.log10(scored[5].perplexity), want, rel_tol=1e-4)
 
 
+@pytest.mark.parametrize("halves", [False])
+def test_models_count_all_trusted_documents(spark, halves):
+    n = 24_000
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.lit(" "), F.hex(F.col("id") * 7919)).alias("text"))
+    if halves:
+        models = quality.fit_halves(docs, docs.select("doc_id"))
+        parts = [[r.text for r in docs.where(quality.fold_of(F.col("text")) == k).collect()] for k in range(quality.FOLDS)]
+    else:
+        models, parts = [quality.fit(docs, docs.select("doc_id"))], [[r.text for r in docs.collect()]]
+    assert sum(map(len, parts)) == n
+    for model, texts in zip(models, parts):
+        _, log_p = model.tables()
+        p = brute_kneser_ney(model, texts)
+        for g in itertools.product(range(0, 12, 3), repeat=4):
+            index = ((g[0] * 64 + g[1]) * 64 + g[2]) * 64 + g[3]
+            assert math.isclose(10 ** float(log_p[index]), p(g), rel_tol=1e-5)
+
+
 def test_quality_separates_labelled_documents(spark):
     docs, labels = table(spark, SF, "documents"), table(spark, SF, "labels")
     found = {r.doc_id: r.kept for r in quality.classify(docs, labels).collect()}
