@@ -116,7 +116,7 @@ def test_kneser_ney_equals_its_definition(spark):
     assert scored[5].n_symbols == len(texts[5]) + 1 and math.isclose(math.log10(scored[5].perplexity), want, rel_tol=1e-4)
 
 
-@pytest.mark.parametrize("halves", [False])
+@pytest.mark.parametrize("halves", [False, True])
 def test_models_count_all_trusted_documents(spark, halves):
     n = 24_000
     docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.lit(" "), F.hex(F.col("id") * 7919)).alias("text"))
