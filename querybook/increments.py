@@ -68,9 +68,21 @@ def _saved_pages(spark, sf):
     body = (F.when(F.col("page") % 13 == 3, "").when(F.col("page") % 13 == 5, F.expr("left(whole, length(whole) - 9)"))
             .when(F.col("page") % 13 == 7, "null").when(F.col("page") % 13 == 9, '{"items": null}').otherwise(F.col("whole")))
     path = scratch_path(spark, "pages")
-    # one folder for each page, so that the page's number can be told from its path
-    pages.select("page", body.alias("value")).repartition("page").write.partitionBy("page").option("lineSep", "\n").text(path)
-    return registry_json.read_pages(spark, f"{path}/page=*")
+    # one file for each page, so that the page's number can be told from its path; Spark's own writer needs a folder and several
+    # moves for each, which the driver does one after the other
+    ship(spark)
+
+    def write(batches):
+        fs, base = treesource.opened(path)
+        fs.create_dir(base, recursive=True)
+        for batch in batches:
+            for page, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with fs.open_output_stream(f"{base}/page={'__HIVE_DEFAULT_PARTITION__' if page is None else page}") as out:
+                    out.write(f"{value}\n".encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    pages.select("page", body.alias("value")).mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    return registry_json.read_pages(spark, path)
 
 
 @query("read_pages", sql(f"""SELECT page, place AS item_seq, source AS owner, 'r' || doc_id AS name, doc_id * 3 AS stars FROM p

@@ -188,3 +188,13 @@ def test_sketches_of_loads_are_united_without_the_loads(spark):
     assert found.repos == exact.repos and abs(found.contents - true) <= sketches.error_bound() * true
     nothing = sketches.united(sketches.load_sketch(files.limit(0), "none")).first()
     assert tuple(nothing) == (1, 0, 0, 0, 0, 0)
+
+
+def test_saved_pages_are_single_files(spark, tmp_path, monkeypatch):
+    from querybook import increments
+
+    monkeypatch.setattr(increments, "scratch_path", lambda _, label: f"{tmp_path}/{label}")
+    spark.range(25).selectExpr("id AS doc_id", "'s' AS source").write.parquet(f"{tmp_path}/in/documents.parquet")
+    found = increments._saved_pages(spark, f"{tmp_path}/in").select("page").collect()
+    assert sorted(r.page.rsplit("/", 1)[1] for r in found) == ["page=0", "page=1", "page=2"]
+    assert all(p.is_file() for p in (tmp_path / "pages").iterdir())
