@@ -69,10 +69,10 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, hot_rows: i
     counts.where(F.col("_n") > bound).select("_key").write.parquet(f"{path}/hot_keys")
     hot_keys = spark.read.schema(StructType().add("_key", df.schema[key].dataType)).parquet(f"{path}/hot_keys")
     here = F.col(key).eqNullSafe(F.col("_key"))
-    df.join(hot_keys, here, "left_semi").write.parquet(f"{path}/hot")
+    df.join(hot_keys, here, "left_semi").write.option("compression", "zstd").parquet(f"{path}/hot")
     name = f"writing_{uuid.uuid4().hex}"
     (df.join(hot_keys, here, "left_anti").repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
-     .option("path", f"{path}/cold").format("parquet").saveAsTable(name))
+     .option("path", f"{path}/cold").option("compression", "zstd").format("parquet").saveAsTable(name))
     spark.sql(f"DROP TABLE {name}")  # the files stay: they lie outside the warehouse
     layout = spark.createDataFrame([(key, buckets, schema.json())], "key string, buckets int, schema string")
     layout.coalesce(1).write.parquet(f"{path}/layout")  # written last: a folder without it is not finished

@@ -201,3 +201,11 @@ def test_empty_tables_in_buckets(spark, tmp_path):
     corpus = bucketed.write_bucketed(spark.createDataFrame([("a", "b")], "id string, code string"), str(tmp_path / "corpus"), "id", 4)
     assert bucketed.join_co_located(none, corpus).count() == 0 == bucketed.latest_co_located(none, ["source_file_id"]).count()
     assert none.rows().columns == ["source_file_id", "task_type", "timestamp", "request_id", "content"]
+
+
+def test_stored_buckets_are_compressed_well(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    bucketed.write_bucketed(spark.range(50).selectExpr("id % 7 AS id", "repeat('text ', 9) AS code"), f"{tmp_path}/t", "id", 2, 7)
+    files = [*tmp_path.glob("t/cold/*.parquet"), *tmp_path.glob("t/hot/*.parquet")]
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files if pq.ParquetFile(f).metadata.num_rows} == {"ZSTD"}
