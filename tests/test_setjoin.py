@@ -1,11 +1,14 @@
 """The exact set-similarity join against brute force, and how much it compares."""
 
 import random
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import neardup, setjoin, tiles
+from corpusloom.session import shared_dir
 
 
 def shingle_set(text):
@@ -102,3 +105,53 @@ def test_empty_tables_and_repeated_ids(spark):
     found = sorted((r["id"], r.group_id) for r in setjoin.similar_text_groups(df.where("id is not null")).collect())
     assert found == [(1, 1), (1, 1), (2, 1), (2, 1)]
     assert neardup.near_duplicate_groups(df.where("id > 9")).collect() == []
+
+
+def scratch_bytes(spark):
+    return sum(p.stat().st_size for p in Path(shared_dir(spark)).rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("groups", [setjoin.similar_text_groups, neardup.near_duplicate_groups])
+def test_sets_are_stored_once(spark, groups):
+    """Texts without a partner: their sets are written once (8 bytes an element), and the digest brings copies together."""
+    r = random.Random(11)
+    texts = [" ".join(f"w{r.randint(0, 10**9)}" for _ in range(1200)) for _ in range(150)]
+    df = spark.createDataFrame(list(enumerate([*texts, *texts[:20]])), "id long, text string").repartition(4)
+    before = scratch_bytes(spark)
+    found = {x["id"]: x.group_id for x in groups(df).collect()}
+    assert found == {i: i if i < 150 else i - 150 for i in range(170)}
+    assert scratch_bytes(spark) - before < 1.5 * 8 * 1196 * 170
+
+
+def test_no_set_is_shuffled_to_learn_what_is_shared(spark):
+    df = spark.createDataFrame(near_rows(2), "id long, text string")
+    plan = setjoin.prefixes(setjoin.text_sets(df, "text", "id", 5)[1], 0.8)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan)
+    assert len(moved) == 3 and not any(re.search(r"\b_(set|token)#", columns) for columns in moved)
+
+
+def test_elements_that_look_alike(spark):
+    """Elements that differ only in bits that neither the bucket nor the lower half holds: alike when counted, not when compared."""
+    r = random.Random(3)
+    sets = []
+    for k in range(60):
+        base = [(r.randrange(16) << 60) + (r.randrange(4) << 40) + r.randrange(40) for _ in range(30)]
+        for _ in range(r.randint(1, 4)):
+            sets.append(sorted({(e if r.random() > 0.06 else e ^ (1 << 40)) - (1 << 63) for e in base}))
+    sets = [list(x) for x in sorted(set(map(tuple, sets)))]
+    links = {(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets) if a != b and len({*x} & {*y}) / len({*x} | {*y}) >= 0.8}
+    want = list(range(len(sets)))
+    for _ in sets:
+        for a, b in links:
+            want[a] = want[b] = min(want[a], want[b])
+    df = spark.createDataFrame([(k, len(x), x) for k, x in enumerate(sets)], "_id long, _n int, _set array<long>")
+    found = {x["_id"]: x["_group"] for x in setjoin.similar_sets(df).groups.collect()}
+    assert links and {k: found.get(k, k) for k in range(len(sets))} == dict(enumerate(want))
+
+
+def test_many_copies_are_left_out_by_a_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(setjoin, "BROADCAST_IDS", 0)
+    rows = near_rows(4, clusters=6)
+    rows += [(i + 500, t.upper()) for i, t in rows] + [(900, None), (901, "")]
+    assert grouped(spark, rows) == brute(rows)[0]
