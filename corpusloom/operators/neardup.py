@@ -10,18 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.operators.setjoin import THRESHOLD, WORDS, named_groups, similar_sets, text_sets
+from corpusloom.operators.setjoin import THRESHOLD, WORDS, named_groups, similar_sets, stored, text_sets
 
 BANDS, ROWS = 32, 4  # a pair at the threshold shares no band with probability 5e-8
 
 
 def band_lists(sets: DataFrame) -> DataFrame:
-    """``_token, _id, _n, _pos, _before`` of every band of every set, without bounds."""
+    """``_token, _id, _n, _pos`` of every band of every set, without bounds. Each set's bands are stored."""
     # one row per shingle meets all hash functions in one generated aggregation
     signed = sets.select("_id", "_n", F.explode("_set").alias("_s")).groupBy("_id", "_n").agg(
         *[F.min(F.xxhash64("_s", F.lit(k))).alias(f"h{k}") for k in range(BANDS * ROWS)])
     bands = F.array(*[F.xxhash64(F.lit(b), *[f"h{b * ROWS + r}" for r in range(ROWS)]) for b in range(BANDS)])
-    return signed.select(F.explode(bands).alias("_token"), "_id", "_n", F.lit(0).alias("_pos"), F.array().cast("array<long>").alias("_before"))
+    return stored(signed.select("_id", "_n", bands.alias("_bands")), "bands").select(F.explode("_bands").alias("_token"), "_id", "_n", F.lit(0).alias("_pos"))
 
 
 def near_duplicate_groups(df: DataFrame, text_col: str = "text", id_col: str = "id", words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
