@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
-from corpusloom.operators.dedup import first_per_key
 from corpusloom.operators.prompts import PromptBook, message, user_message
 
 # Default system messages and the license of generated records.
@@ -22,13 +21,14 @@ def join_training_to_corpus(training: DataFrame, corpus: DataFrame, tie: str | N
     than once in the corpus counts once: its last record by ``tie``.
 
     The corpus is cut down to the wanted ids before any text is shuffled, so ``training`` is used
-    twice; pass a stored table rather than a long plan.
+    twice; pass a stored table rather than a long plan. A reader that asks for no column of the file
+    moves ids alone.
     """
     columns = ["code", "repo_name", "repo_url"]
-    order = [F.desc_nulls_last(tie)] if tie else [F.desc("repo_url"), F.desc(F.sha2("code", 256))]
+    order = [tie] if tie else ["repo_url", F.sha2("code", 256)]
     wanted = corpus.join(training.select(F.col("source_file_id").alias("id")).distinct(), "id", "left_semi")
-    files = first_per_key(wanted.select("id", *columns, *([tie] if tie and tie not in columns else [])), ["id"], order)
-    return training.join(files.select(F.col("id").alias("source_file_id"), *columns), "source_file_id")
+    files = wanted.groupBy(F.col("id").alias("source_file_id")).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_file"))
+    return training.join(files.select("source_file_id", *[F.col(f"_file.{c}") for c in columns]), "source_file_id")
 
 
 def missing_in_corpus(training: DataFrame, corpus: DataFrame) -> DataFrame:

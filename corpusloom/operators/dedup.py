@@ -52,6 +52,29 @@ def latest_per_key(
     return first_per_key(df, keys, order)
 
 
+def latest_texts_per_key(
+    df: DataFrame,
+    keys: list[str],
+    timestamp: str = "timestamp",
+    tie: str = "request_id",
+    prefer_success: bool = False,
+) -> DataFrame:
+    """``latest_per_key`` of rows that hold texts: the newest moment of every key is found on narrow rows, and only rows of
+    that moment go on. The choice is a predicate, so Spark moves it below joins that bring the texts.
+
+    ``df`` is read twice and has to give the same rows each time. Null keys, timestamps and ties count as in ``latest_per_key``.
+    """
+    moment = [F.col(timestamp), F.col(tie)]
+    if prefer_success:
+        moment = [F.coalesce(F.col("finish_reason") == "stop", F.lit(False)), *moment]
+    moment = F.struct(*[c.alias(f"_{i}") for i, c in enumerate(moment)])
+    key = F.struct(*[F.col(k) for k in keys])
+    newest = df.groupBy(*keys).agg(F.max(moment).alias("_moment")).select(F.struct(key.alias("_key"), "_moment").alias("_one"))
+    # a struct in a struct: compared as one value, in which nulls are equal
+    chosen = df.where(F.struct(F.struct(key.alias("_key"), moment.alias("_moment"))).isin(newest))
+    return latest_per_key(chosen, keys, timestamp, tie, prefer_success)
+
+
 def dedup_across_chunks(df: DataFrame, owner: str = "owner", name: str = "name", order: list[str] | None = None) -> DataFrame:
     """First occurrence per ``owner/name`` over overlapping query slices, in slice order."""
     return first_per_key(df, [owner, name], [F.asc_nulls_last(c) for c in (order or ["chunk_seq", "item_seq"])])

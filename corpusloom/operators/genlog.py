@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpusloom import schemas
 from corpusloom.functions import text, usage
 from corpusloom.operators import filters
-from corpusloom.operators.dedup import latest_per_key
+from corpusloom.operators.dedup import latest_texts_per_key
 from corpusloom.operators.joins import join_small
 from corpusloom.operators.quantiles import median, with_positions
 
@@ -25,8 +25,8 @@ def sort_output(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def clean_log(df: DataFrame, tie: str = "request_id", prefer_success: bool = False) -> DataFrame:
-    """Latest row per file and task, then only complete answers that do not loop."""
-    latest = latest_per_key(df, LOG_KEYS, tie=tie, prefer_success=prefer_success)
+    """Latest row per file and task, then only complete answers that do not loop. ``df`` is read twice."""
+    latest = latest_texts_per_key(df, LOG_KEYS, tie=tie, prefer_success=prefer_success)
     return select_training_columns(filters.filter_degenerate(filters.clean_basic(latest)))
 
 

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.operators import genlog
+from corpusloom import schemas
+from corpusloom.operators import chat, dedup, genlog
 from corpusloom.operators.quantiles import medians
 
 LOG = ("provider string, approach string, timestamp timestamp, request_seq long, error string, wall_time_ms long, "
@@ -105,3 +106,48 @@ def test_prices_by_shuffle_beyond_the_size_check(spark):
     small = spark.range(4).selectExpr("id AS k", "id * 10 AS v")
     broadcast, shuffled = join_small(big, small, "k"), join_small(big, small, "k", max_rows=2)
     assert sorted(broadcast.collect()) == sorted(shuffled.collect())
+
+
+ATTEMPT = "source_file_id string, task_type string, timestamp int, request_id int, finish_reason string, content string"
+
+
+@pytest.mark.parametrize("prefer_success", [False, True])
+def test_newest_texts_with_nulls_and_ties(spark, prefer_success):
+    rows = [(None, "t", 1, 1, "stop", "a"), (None, "t", 2, None, None, "b"), ("f", None, None, 3, "stop", "c"), ("f", None, None, 2, "stop", "d"),
+            ("f", None, 0, None, None, "e"), ("g", "t", 5, None, "stop", "h"), ("g", "t", 5, None, "stop", "h"), ("g", "u", 5, 2, None, None), ("g", "u", 5, 1, "stop", "i")]
+    df = spark.createDataFrame(rows, ATTEMPT)
+    found = dedup.latest_texts_per_key(df, genlog.LOG_KEYS, prefer_success=prefer_success)
+    want = dedup.latest_per_key(df, genlog.LOG_KEYS, prefer_success=prefer_success)
+    assert found.columns == df.columns and sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    assert found.count() == 4 and dedup.latest_texts_per_key(df.limit(0), genlog.LOG_KEYS).count() == 0
+
+
+def test_only_newest_attempts_meet_their_texts(spark):
+    """Texts of a log that come from a join are looked up after the choice, so older attempts carry none through a shuffle."""
+    attempts = spark.range(400).selectExpr("id AS request_id", "concat('f', id % 7) AS source_file_id", "'t' AS task_type", "id AS timestamp", "id % 50 AS answer")
+    texts = spark.range(50).selectExpr("id AS answer_id", "repeat(concat('text', id, chr(10)), 3) AS text")
+    log = attempts.join(texts, F.col("answer") == F.col("answer_id"), "left").select(
+        *[F.lit("x").alias(c) for c in schemas.TRAINING_COLUMNS if c not in ("source_file_id", "task_type", "content")],
+        "request_id", "source_file_id", "task_type", "timestamp", F.lit("stop").alias("finish_reason"),
+        F.when(F.col("request_id") % 41 == 0, "").otherwise(F.col("text")).alias("content"))
+    cleaned = genlog.clean_log(log)
+    lines = cleaned._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = {kind: min(len(x) - len(x.lstrip(" :+-")) for x in lines if f"Join {kind}" in x) for kind in ("LeftOuter", "LeftSemi")}
+    assert depth["LeftSemi"] > depth["LeftOuter"]
+    newest = {f"f{k % 7}": k for k in range(400)}
+    assert {(r.source_file_id, r.content) for r in cleaned.collect()} == {(f, f"text{k % 50}\n" * 3) for f, k in newest.items() if k % 41}
+
+
+def test_joined_keys_move_no_text(spark):
+    """``dense_ids`` reads the joined rows once for their keys: no code is shuffled for that."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        training = spark.createDataFrame([("f", "t"), ("x", "t"), (None, "t")], "source_file_id string, task_type string")
+        files = spark.createDataFrame([("f", "one", "r", "u"), ("f", "two", None, "v"), ("f", "six", "s", None), (None, "c", "r", "u")],
+                                      "id string, code string, repo_name string, repo_url string")
+        joined = chat.join_training_to_corpus(training, files)
+        text = joined.select("source_file_id", "task_type")._jdf.queryExecution().optimizedPlan().toString()
+        assert "max_by" not in text and "sha2" not in text and "Window" not in text
+        assert [tuple(r) for r in joined.collect()] == [("f", "t", "two", None, "v")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
