@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from corpusloom.llm import quality
 
 GREEK, LATIN = "αβγδεζηθικλμνξοπρστυφχψω", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789.,;"
@@ -80,3 +81,16 @@ def test_scores_from_tables_equal_those_from_a_copy(spark, corpus, monkeypatch):
     assert len(found[0]) == len(found[1]) == len(texts) + 7
     for a, b in zip(*found):
         assert a[:3] == b[:3] and math.isclose(a[3], b[3], rel_tol=1e-4)
+
+
+def test_junk_of_a_minority_script_goes(spark, tmp_path):
+    """Greek letters stand a multiple of six places from those of trusted words: codes by remainder took them for the same."""
+    r = random.Random(8)
+    greek, latin = words(r, GREEK, 30), words(r, LATIN, 30, 400)
+    rows = [(k, greek(r) if k % 14 == 0 else latin(r), "el" if k % 14 == 0 else "en") for k in range(3500)]
+    moved = str.maketrans({c: chr(0x3B1 + (ord(c) - 0x3B1 + 6) % 24) for c in GREEK})
+    junk = [(k + 10_000, t.translate(moved), lang) for k, t, lang in rows if lang == "el"]
+    spark.createDataFrame([(k, 1, 0) for k, *_ in rows], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame(rows + junk, SCHEMA)
+    kept = {x.doc_id for x in corpus_pipeline.filter_quality(spark, docs, str(tmp_path)).collect()}
+    assert len([k for k in kept if k < 10_000]) > 0.95 * len(rows) and not [k for k in kept if k >= 10_000]
