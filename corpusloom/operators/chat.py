@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
+from corpusloom.operators.joins import maybe_joins
 from corpusloom.operators.prompts import PromptBook, message, user_message
 
 # Default system messages and the license of generated records.
@@ -20,13 +21,14 @@ def join_training_to_corpus(training: DataFrame, corpus: DataFrame, tie: str | N
     """Training rows with the code and repository of their source file. A file id occurring more
     than once in the corpus counts once: its last record by ``tie``.
 
-    The corpus is cut down to the wanted ids before any text is shuffled, so ``training`` is used
-    twice; pass a stored table rather than a long plan. A reader that asks for no column of the file
-    moves ids alone.
+    The corpus is cut down to the wanted ids before any text is shuffled: a key filter of bounded size
+    drops nearly all other rows where they are read. So ``training`` is used twice; pass a stored table
+    rather than a long plan. A reader that asks for no column of the file moves ids alone.
     """
     columns = ["code", "repo_name", "repo_url"]
     order = [tie] if tie else ["repo_url", F.sha2("code", 256)]
-    wanted = corpus.join(training.select(F.col("source_file_id").alias("id")).distinct(), "id", "left_semi")
+    ids = training.select(F.col("source_file_id").alias("id")).where("id IS NOT NULL").distinct()
+    wanted = maybe_joins(corpus, ids, "id").join(ids, "id", "left_semi")
     files = wanted.groupBy(F.col("id").alias("source_file_id")).agg(F.max_by(F.struct(*columns), F.struct(*order)).alias("_file"))
     return training.join(files.select("source_file_id", *[F.col(f"_file.{c}") for c in columns]), "source_file_id")
 

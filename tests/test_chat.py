@@ -153,6 +153,33 @@ def test_duplicate_corpus_ids_do_not_multiply(spark):
     assert [r["source_file_id"] for r in chat.missing_in_corpus(training, corpus).collect()] == ["x"]
 
 
+def test_corpus_is_cut_down_before_its_texts_are_shuffled(spark):
+    from corpusloom.operators import joins
+
+    corpus = spark.range(2000).selectExpr("concat('f', id) AS id", "concat('code ', id) AS code", "'r' AS repo_name", "CAST(NULL AS STRING) AS repo_url")
+    corpus = corpus.unionByName(corpus.where("id IN ('f3', 'f5')")).unionByName(spark.createDataFrame([(None, "n", "r", "u")], "id string, code string, repo_name string, repo_url string"))
+    training = spark.createDataFrame([("f3", "a"), ("f3", "b"), ("f9", None), (None, "c"), ("x", "d")], "source_file_id string, task_type string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = chat.join_training_to_corpus(training, corpus)
+        assert sorted(map(str, joined.select("source_file_id", "task_type", "code").collect())) == [
+            "Row(source_file_id='f3', task_type='a', code='code 3')", "Row(source_file_id='f3', task_type='b', code='code 3')",
+            "Row(source_file_id='f9', task_type=None, code='code 9')"]
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        filters = [x for x in plan.splitlines() if "BroadcastHashJoin" in x]
+        assert filters and all("LeftSemi" in x for x in filters)
+        assert chat.join_training_to_corpus(training.limit(0), corpus).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    keys = spark.createDataFrame([(f"f{i}",) for i in range(300)] + [(None,)], "id string")
+    for bits in (64, 1 << 12, joins.FILTER_BITS):
+        left = joins.maybe_joins(corpus, keys, "id", bits)
+        assert left.join(keys, "id", "left_semi").count() == 302 and left.columns == corpus.columns
+    assert left.count() < 310
+    numbers = spark.range(10)
+    assert joins.maybe_joins(numbers, numbers.select(numbers.id.cast("int").alias("id")), "id").count() == 10
+
+
 def test_mix_fields_and_json(spark, tmp_path):
     from corpusloom.sources.jsonl import read_chat_jsonl, write_jsonl
 
