@@ -196,8 +196,7 @@ def hard_negatives(
 
     def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [quantised(v, scale) for v in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(raw, pa.binary())], ["id", "label", "anchor", "raw"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), quantised(batch.column(3), scale)], ["id", "label", "anchor", "raw"])
 
     rows = store(vectors.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("long").alias("label"),

@@ -2,8 +2,9 @@
 
 Vectors lie in vertical layout, one array per dimension. Scores are accumulated one block of dimensions at
 a time; after each block a candidate's remaining mass bounds what it can still gain, candidates that cannot
-reach the k-th best score are dropped, and the survivors are compacted. Queries are split into blocks and
-candidates into shards; a task meets one query block and one shard, and only its k best rows leave it.
+reach the k-th best score are dropped, and the survivors are compacted. A few queries are scored together, by
+matrix products of floats where these are exact. Queries are split into blocks and candidates into shards; a
+task meets one query block and one shard, and only its k best rows leave it.
 """
 
 from __future__ import annotations
@@ -23,15 +24,22 @@ DIMENSIONS = 8  # of a block
 QUERY_ROWS = 1024  # of a query block
 SHARD_ROWS = 16_384  # of a candidate shard
 STEP_ROWS = 4096  # candidates laid out at a time
+QUERY_GROUP = 16  # queries scored at a time: their scores of a layout step take 0.5 MB
+COMPACT = 0.9  # share of candidates still of use to some query at which the others are moved out
+EXACT = 2.0 ** 53  # integers below this are exact in floats, whatever the order of a sum
 SCALE = 64
 
 
-def quantised(value: list | None, scale: int = SCALE) -> bytes | None:
-    """``floor(scale * x)`` of every component; None for null vectors and null or non-finite components."""
-    if value is None or None in value:
-        return None
-    x = np.array(value, np.float64)
-    return np.floor(scale * x).astype("<i8").tobytes() if np.isfinite(x).all() else None
+def quantised(vectors: pa.Array, scale: int = SCALE) -> pa.Array:
+    """``floor(scale * x)`` of every component, as bytes; null for null vectors and null or non-finite components."""
+    at = vectors.offsets.to_numpy()
+    x = vectors.values[at[0]:at[-1]].to_numpy(zero_copy_only=False).astype(np.float64)  # a slice of a column: only its own values
+    at = at - at[0]
+    finite = np.isfinite(x)
+    whole = np.floor(scale * np.where(finite, x, 0)).astype("<i8")
+    bad = np.concatenate([[0], np.cumsum(~finite)])
+    good = vectors.is_valid().to_numpy(zero_copy_only=False) & (bad[at[1:]] == bad[at[:-1]])
+    return pa.array([whole[a:b].tobytes() if ok else None for a, b, ok in zip(at[:-1].tolist(), at[1:].tolist(), good.tolist())], pa.binary())
 
 
 def vertical(raw: list[bytes], width: int) -> np.ndarray:
@@ -62,28 +70,30 @@ class Best:
 
     def add(self, scores: np.ndarray, ids: np.ndarray) -> None:
         s, i = np.concatenate([self.scores, scores]), np.concatenate([self.ids, ids])
+        if len(s) > 2 * self.k:  # only what ties with the k-th or lies above is sorted
+            top = s >= np.partition(s, -self.k)[-self.k]
+            s, i = s[top], i[top]
         order = np.lexsort((i, -s))[: self.k]
         self.scores, self.ids = s[order], i[order]
 
 
-def search(query: np.ndarray, mass: np.ndarray, columns: np.ndarray, masses: np.ndarray, ids: np.ndarray, allowed: np.ndarray, best: Best) -> None:
-    """Enter the candidates (a column each) of one layout step into the query's best."""
-    alive = allowed
-    scores = np.zeros(len(alive), np.int64)
-    for b, d in enumerate(range(0, len(query), DIMENSIONS)):
-        floor = best.floor()
-        if floor > -np.inf:
-            keep = scores + mass[b] * masses[b, alive] >= floor - 0.5
-            if not keep.all():
-                alive, scores = alive[keep], scores[keep]
-                if not len(alive):
-                    return
-        part = columns[d:d + DIMENSIONS]
-        scores = scores + query[d:d + DIMENSIONS] @ (part if len(alive) == part.shape[1] else part[:, alive])
-    floor = best.floor()
-    good = scores >= floor
-    if good.any():
-        best.add(scores[good], ids[alive[good]])
+def search(queries: np.ndarray, asked: np.ndarray, mass: np.ndarray, columns: np.ndarray, masses: np.ndarray, ids: np.ndarray, bests: list[Best]) -> None:
+    """Enter the candidates (a column each) of one layout step into the bests of a few queries (a row each, with ids ``asked``)."""
+    floors = np.array([best.floor() for best in bests])[:, None]
+    alive = asked[:, None] != ids
+    scores = np.zeros(alive.shape, columns.dtype)
+    for b, d in enumerate(range(0, len(columns), DIMENSIONS)):
+        if floors.max() > -np.inf:
+            alive &= scores + mass[b][:, None] * masses[b] >= floors - 0.5
+            used = alive.any(axis=0)
+            if not used.any():
+                return
+            if used.mean() < COMPACT:
+                alive, scores, columns, masses, ids = alive[:, used], scores[:, used], columns[:, used], masses[:, used], ids[used]
+        scores += queries[:, d:d + DIMENSIONS] @ columns[d:d + DIMENSIONS]
+    alive &= scores >= floors
+    for q in np.flatnonzero(alive.any(axis=1)).tolist():
+        bests[q].add(scores[q, alive[q]].astype(np.int64), ids[alive[q]])
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, id_col: str = "vec_id",
@@ -100,8 +110,7 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = S
 
     def quantise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = [quantised(v, scale) for v in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(raw, pa.binary())], ["id", "q", "raw"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), quantised(batch.column(2), scale)], ["id", "q", "raw"])
 
     rows = store(vectors.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("q"), vector_col,
@@ -119,18 +128,19 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, scale: int = S
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in by_group(batches, ["block", "shard"]):
-            side, ids, raw = group["side"].to_numpy(), group["id"].to_numpy(), group["raw"].to_pylist()
+            side, ids, raw = group["side"].to_numpy(), group["id"].to_numpy(), group["raw"]
             n = int((side == 0).sum())
-            queries = np.ascontiguousarray(vertical(raw[:n], width).T)
+            queries = np.ascontiguousarray(vertical(raw[:n].to_pylist(), width).T)
             bests = [Best(k) for _ in range(n)]
-            query_mass = tail_mass(queries.T) if n else None
-            for a in range(n, len(ids), STEP_ROWS):
-                own = ids[a:a + STEP_ROWS]
-                columns = vertical(raw[a:a + STEP_ROWS], width)
+            query_mass = tail_mass(queries.T)
+            for a in range(n, len(ids) if n else 0, STEP_ROWS):
+                columns = vertical(raw[a:a + STEP_ROWS].to_pylist(), width)
                 masses = tail_mass(columns)
-                for q in range(n):
-                    allowed = np.arange(len(own)) if ids[q] < own[0] or ids[q] > own[-1] else np.flatnonzero(own != ids[q])
-                    search(queries[q], query_mass[:, q], columns, masses, own, allowed, bests[q])
+                kind = np.float64 if masses[0].max() * query_mass[0].max() < EXACT else np.int64
+                columns = columns.astype(kind)
+                for q in range(0, n, QUERY_GROUP):
+                    some = slice(q, min(n, q + QUERY_GROUP))
+                    search(queries[some].astype(kind), ids[some], query_mass[:, some], columns, masses, ids[a:a + STEP_ROWS], bests[some])
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.repeat(ids[:n], [len(b.ids) for b in bests]), pa.int64()),
                 pa.array(np.concatenate([b.ids for b in bests]) if n else np.zeros(0, np.int64), pa.int64()),

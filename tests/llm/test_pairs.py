@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -279,6 +280,33 @@ def test_top_k_equals_brute_force(spark, monkeypatch, shard, step, block):
     assert not found
 
 
+def test_top_k_scores_queries_together_and_exactly():
+    """A layout step meets several queries at once; components whose products floats cannot hold are scored as integers."""
+    g = np.random.default_rng(3)
+    for size in (40, 1 << 28):
+        x = g.integers(-size, size, (300, 20))
+        x[100:200] //= 1 + np.arange(100)[:, None]
+        ids, asked = np.arange(300) // 2, np.arange(0, 40, 2)
+        columns, queries = topk.vertical([r.tobytes() for r in x.astype("<i8")], 20), x[:20]
+        masses, mass = topk.tail_mass(columns), topk.tail_mass(queries.T)
+        kind = np.float64 if masses[0].max() * mass[0].max() < topk.EXACT else np.int64
+        assert (kind == np.float64) == (size == 40)
+        bests = [topk.Best(5) for _ in asked]
+        for a in range(0, 300, 60):
+            part = slice(a, a + 60)
+            topk.search(queries.astype(kind), asked, mass, columns[:, part].astype(kind), masses[:, part], ids[part], bests)
+        for q, best in enumerate(bests):
+            want = sorted((-sum(map(int.__mul__, map(int, queries[q]), map(int, x[c]))), int(ids[c])) for c in range(300) if ids[c] != asked[q])[:5]
+            assert list(zip((-best.scores).tolist(), best.ids.tolist())) == want
+
+
+def test_quantised_vectors():
+    rows = [None, [], [1.0, None], [float("nan")], [0.5, -0.01], [float("inf"), 1.0], [2.0]]
+    for kind in (pa.float32(), pa.float64()):
+        column = pa.array([[9.0], *rows], pa.list_(kind)).slice(1)
+        assert [b if b is None else np.frombuffer(b, "<i8").tolist() for b in topk.quantised(column).to_pylist()] == [None, [], None, None, [32, -1], None, [128]]
+
+
 def test_top_k_edge_tables(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.exact_top_k(none, F.col("vec_id") % 20 == 0).count() == 0
