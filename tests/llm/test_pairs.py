@@ -300,6 +300,26 @@ def test_top_k_scores_queries_together_and_exactly():
             assert list(zip((-best.scores).tolist(), best.ids.tolist())) == want
 
 
+def test_sets_meet_only_in_their_tiles(spark, monkeypatch):
+    """Tiles are laid out without sets, bands with the same members are compared once, and a repeated id gives one set."""
+    laid, made, spread, shingled = [], [], tiles.spread, jaccard.shingle_sets
+    monkeypatch.setattr(tiles, "spread", lambda rows, *a: laid.append(rows) or spread(rows, *a))
+    monkeypatch.setattr(jaccard, "shingle_sets", lambda rows: made.append(shingled(rows)) or made[-1])
+    words = [f"w{k}" for k in range(60)]
+    near = words[:30] + ["other"] + words[31:]  # 51 of 61 shingles: linked
+    far = words[:30] + [f"x{k}" for k in range(10)] + words[40:]  # shares bands at most
+    rows = [(5, " ".join(words)), (5, " ".join(words)), (5, " ".join(words).upper()), (5, "another text of one id"), (None, " ".join(words)),
+            (6, " ".join(near)), (7, " ".join(far)), (8, None), (9, " ".join(words))]
+    got = jaccard.similarity_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_links, r.class_id or 0) for r in got) == [
+        (0, 0, 0), (5, 0, 5), (5, 4, 5), (5, 4, 5), (5, 4, 5), (6, 4, 5), (7, 0, 7), (8, 0, 8), (9, 4, 5)]
+    assert len(laid) == 2 and not any({"_set", "_values"} & set(x.columns) for x in laid)
+    members = [r["_member"] for r in made[0].collect()]
+    assert len(members) == len(set(members)) >= 2
+    bands = spark.createDataFrame([(k, m) for k in range(4) for m in (b"a", b"b")] + [(9, b"a"), (9, b"c")], "_key long, _member binary")
+    assert bands.groupBy("_key").agg(*jaccard.same_members()).select("_n", "_x", "_y").distinct().count() == 2
+
+
 def test_quantised_vectors():
     rows = [None, [], [1.0, None], [float("nan")], [0.5, -0.01], [float("inf"), 1.0], [2.0]]
     for kind in (pa.float32(), pa.float64()):
